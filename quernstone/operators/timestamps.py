@@ -23,6 +23,9 @@ from quernstone.session import materialize
 #: Number of values a format can spell per year; a reading is the likelier the fewer there are.
 _DENSITY = {f: 3.15e7 for f in FORMATS} | {"iso_month": 12, "year": 1, "month_year": 12, "name_month": 12, "compact8": 365, "compact8_day_first": 365, "compact12": 525600, "epoch_ms": 3.15e10, "epoch_us": 3.15e13}
 
+#: EM stops after so many rounds; counts that every format has from the start.
+_ROUNDS, _PRIOR = 50, 0.1
+
 
 def parse_values(
     df: DataFrame, key: str, fields: dict[str, Column], source: str, zone: str = "Europe/Paris", day_first: bool | None = True
@@ -54,7 +57,7 @@ def parse_values(
     return long.mapInPandas(run, "rec_key string, src string, field string, raw string, sig string, vals array<string>")
 
 
-def _em(pdf: pd.DataFrame, rounds: int = 50, prior: float = 0.1) -> pd.DataFrame:
+def _em(pdf: pd.DataFrame) -> pd.DataFrame:
     """EM for one source: its rows are counts of (field, signature)."""
     out = []
     for field, part in pdf.groupby("field", sort=True):
@@ -68,10 +71,10 @@ def _em(pdf: pd.DataFrame, rounds: int = 50, prior: float = 0.1) -> pd.DataFrame
                 like[i, at[f]] = 1.0 / _DENSITY[f]
         pi = np.full(len(names), 1.0 / len(names))
         post = like
-        for _ in range(rounds):
+        for _ in range(_ROUNDS):
             post = like * pi
             post /= post.sum(1, keepdims=True)
-            new = (post * n[:, None]).sum(0) + prior
+            new = (post * n[:, None]).sum(0) + _PRIOR
             new /= new.sum()
             done = np.abs(new - pi).max() < 1e-9
             pi = new
