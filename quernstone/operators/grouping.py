@@ -53,3 +53,23 @@ def map_key_runs(
 
 def _bounds(k: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero(k[1:] != k[:-1]) + 1, [len(k)]])
+
+
+def split_hot(df: DataFrame, key: str, ident: str, limit: int) -> DataFrame:
+    """Spread keys with more than ``limit`` rows over tiles of bounded size.
+
+    Adds ``tile`` and ``side``. A key with ``n`` rows is cut into
+    ``s = ceil(n / limit)`` slots by a hash of ``ident``; a row goes to the
+    tiles of its slot with every slot, so that each pair of rows of the key
+    meets in exactly one tile: pairs within one slot where ``side`` is 0 for
+    all, pairs across two slots where ``side`` differs.
+    """
+    from pyspark.sql import functions as F
+
+    hot = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > limit)
+    s = F.coalesce(F.ceil(F.col("__n") / F.lit(limit)), F.lit(1)).cast("int")
+    out = df.join(hot, key, "left").withColumn("__s", s).withColumn("__r", F.pmod(F.xxhash64(F.lit(17), ident), F.col("__s")).cast("int"))
+    out = out.withColumn("__j", F.explode(F.sequence(F.lit(0), F.col("__s") - 1)))
+    lo, hi = F.least("__r", "__j"), F.greatest("__r", "__j")
+    tile = F.when(F.col("__s") == 1, F.col(key)).otherwise(F.xxhash64(key, lo, hi))
+    return out.withColumn("tile", tile).withColumn("side", F.when((lo < hi) & (F.col("__r") == hi), 1).otherwise(0)).drop("__n", "__s", "__r", "__j")
