@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quernstone.llm import language, lookalike, residue
+from quernstone.llm import language, lookalike, names, residue
 from quernstone.session import materialize, table
 
 _RESIDUE_FIELDS = {"summary": "enrichment.summary", "pdf_title": "meta.pdf_title"}
@@ -16,6 +16,25 @@ def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "catalog_docs")
 
 
+# --- 1: names -------------------------------------------------------------------------------
+
+
+def _entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cat = _catalog(spark, sf_dir)
+    typed = cat.select(F.col("meta.pdf_author").alias("name")).unionByName(cat.select(F.explode("enrichment.acteurs").alias("name")))
+    return names.resolve_names(typed)
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of spellings of the same person or organisation."""
+    return names.spelling_pairs(_entities(spark, sf_dir))
+
+
+def p1_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every spelling with the entity it denotes."""
+    return _entities(spark, sf_dir)
+
+
 # --- 3: look-alikes -------------------------------------------------------------------------
 
 
@@ -89,7 +108,7 @@ def p5_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    found = [p3_found, p3_canonical, p4_found, p4_validation, p5_found, p5_segments]
+    found = [p1_found, p1_entities, p3_found, p3_canonical, p4_found, p4_validation, p5_found, p5_segments]
     return {f.__name__: f for f in found}
 
 
