@@ -6,16 +6,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 from quernstone.llm.skeleton import canonical, skeleton
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def skeleton_udf(s: pd.Series) -> pd.Series:
     return s.map(skeleton, na_action="ignore")
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def canonical_udf(s: pd.Series) -> pd.Series:
     return s.map(canonical, na_action="ignore")
 

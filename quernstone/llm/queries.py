@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quernstone.llm import language, lookalike, names, residue
+from quernstone.llm import language, lookalike, names, near_dup, residue
 from quernstone.session import materialize, table
 
 _RESIDUE_FIELDS = {"summary": "enrichment.summary", "pdf_title": "meta.pdf_title"}
@@ -35,6 +35,26 @@ def p1_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _entities(spark, sf_dir)
 
 
+# --- 2: near-duplicate works ----------------------------------------------------------------
+
+
+def _works(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cat = _catalog(spark, sf_dir)
+    bad = residue_marks(cat, ("summary",)).where("is_residue").select(F.col("rec_key").alias("id"))
+    members, links = near_dup.work_links(cat, "id", "title", "enrichment.summary", "url", bad)
+    return near_dup.works(members, links)
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of records of the same work."""
+    return near_dup.work_pairs(materialize(_works(spark, sf_dir), "works"))
+
+
+def p2_works(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per record: its work and its number of links."""
+    return _works(spark, sf_dir)
+
+
 # --- 3: look-alikes -------------------------------------------------------------------------
 
 
@@ -108,7 +128,7 @@ def p5_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    found = [p1_found, p1_entities, p3_found, p3_canonical, p4_found, p4_validation, p5_found, p5_segments]
+    found = [p1_found, p1_entities, p2_found, p2_works, p3_found, p3_canonical, p4_found, p4_validation, p5_found, p5_segments]
     return {f.__name__: f for f in found}
 
 
