@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quernstone.llm import language, lookalike, names, near_dup, residue
+from quernstone.llm import abuse, language, lookalike, names, near_dup, residue
 from quernstone.session import materialize, table
 
 _RESIDUE_FIELDS = {"summary": "enrichment.summary", "pdf_title": "meta.pdf_title"}
@@ -127,8 +127,32 @@ def p5_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _segments(spark, sf_dir).withColumn("confidence", F.round("confidence", 6))
 
 
+# --- 9: abuse -------------------------------------------------------------------------------
+
+
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = abuse.train_abuse(docs, table(spark, sf_dir, "toxic_labels"))
+    return abuse.score_documents(docs, model)
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with abusive, hateful or sexually explicit language."""
+    return _scored(spark, sf_dir).where("flagged").select("doc_id").distinct()
+
+
+def p9_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document and its most offending sentence."""
+    return _scored(spark, sf_dir).select("doc_id", "source", F.round("score", 5).alias("score"), "sentence_no", "n_offending", "flagged")
+
+
+def p9_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of flagged documents per source."""
+    return abuse.rates(_scored(spark, sf_dir))
+
+
 def queries() -> dict:
-    found = [p1_found, p1_entities, p2_found, p2_works, p3_found, p3_canonical, p4_found, p4_validation, p5_found, p5_segments]
+    found = [p1_found, p1_entities, p2_found, p2_works, p3_found, p3_canonical, p4_found, p4_validation, p5_found, p5_segments, p9_found, p9_scores, p9_rates]
     return {f.__name__: f for f in found}
 
 
