@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quernstone.llm import abuse, language, lookalike, names, near_dup, residue
+from quernstone.llm import abuse, language, lookalike, names, near_dup, packing, residue, tokens
 from quernstone.session import materialize, table
 
 _RESIDUE_FIELDS = {"summary": "enrichment.summary", "pdf_title": "meta.pdf_title"}
@@ -127,6 +127,26 @@ def p5_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _segments(spark, sf_dir).withColumn("confidence", F.round("confidence", 6))
 
 
+# --- 7: packing -----------------------------------------------------------------------------
+
+
+def _packed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[tuple[str, int]]]:
+    specs = [(r["spec_name"], r["capacity_tokens"]) for r in table(spark, sf_dir, "pack_specs").orderBy("capacity_tokens", "spec_name").collect()]
+    sizes = materialize(tokens.token_counts(table(spark, sf_dir, "documents")), "tokens")
+    return packing.pack(sizes, specs), specs
+
+
+def p7_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Container of every text (of every piece, above the capacity) for each spec."""
+    return _packed(spark, sf_dir)[0]
+
+
+def p7_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Containers and unused space per spec."""
+    packed, specs = _packed(spark, sf_dir)
+    return packing.summary(packed, specs)
+
+
 # --- 9: abuse -------------------------------------------------------------------------------
 
 
@@ -152,7 +172,7 @@ def p9_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    found = [p1_found, p1_entities, p2_found, p2_works, p3_found, p3_canonical, p4_found, p4_validation, p5_found, p5_segments, p9_found, p9_scores, p9_rates]
+    found = [p1_found, p1_entities, p2_found, p2_works, p3_found, p3_canonical, p4_found, p4_validation, p5_found, p5_segments, p7_assignment, p7_summary, p9_found, p9_scores, p9_rates]
     return {f.__name__: f for f in found}
 
 
