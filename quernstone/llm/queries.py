@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quernstone.llm import abuse, language, lookalike, names, near_dup, packing, residue, tokens
+from quernstone.llm import abuse, language, lookalike, mixing, names, near_dup, packing, residue, tokens
 from quernstone.session import materialize, table
 
 _RESIDUE_FIELDS = {"summary": "enrichment.summary", "pdf_title": "meta.pdf_title"}
@@ -147,6 +147,24 @@ def p7_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.summary(packed, specs)
 
 
+# --- 8: mixing ------------------------------------------------------------------------------
+
+
+def _mixed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    sizes = materialize(tokens.token_counts(table(spark, sf_dir, "documents"), keep=("source",), digest=True), "tokens")
+    return mixing.mix_sources(sizes, table(spark, sf_dir, "mix_targets"))
+
+
+def p8_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of each mix with the number of their uses."""
+    return _mixed(spark, sf_dir)[0]
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and actual share of each source of each mix."""
+    return _mixed(spark, sf_dir)[1]
+
+
 # --- 9: abuse -------------------------------------------------------------------------------
 
 
@@ -172,7 +190,7 @@ def p9_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    found = [p1_found, p1_entities, p2_found, p2_works, p3_found, p3_canonical, p4_found, p4_validation, p5_found, p5_segments, p7_assignment, p7_summary, p9_found, p9_scores, p9_rates]
+    found = [p1_found, p1_entities, p2_found, p2_works, p3_found, p3_canonical, p4_found, p4_validation, p5_found, p5_segments, p7_assignment, p7_summary, p8_selection, p8_shares, p9_found, p9_scores, p9_rates]
     return {f.__name__: f for f in found}
 
 
