@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quernstone.plans import timestamps
+from quernstone.plans import corpus, timestamps
 
-_MODULES = [timestamps]
+_MODULES = [timestamps, corpus]
 
 
 def queries() -> dict:
