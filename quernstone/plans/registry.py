@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quernstone.plans import corpus, timestamps
+from quernstone.plans import corpus, matching, timestamps
 
-_MODULES = [timestamps, corpus]
+_MODULES = [timestamps, corpus, matching]
 
 
 def queries() -> dict:
