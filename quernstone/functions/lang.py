@@ -35,6 +35,10 @@ SUBSTRING_HINTS = {
 }
 
 
+def _among(words: Column, listed: str) -> Column:
+    return F.size(F.filter(words, lambda w: w.isin(listed.split())))
+
+
 def _best(scores: dict[str, Column], least: int, none: str) -> Column:
     """The language of the highest score, the first listed on ties."""
     top = F.greatest(*scores.values())
@@ -48,7 +52,7 @@ def detect_language(text: Column, chars: int = 80, words: int = 30, sample: int
     """By function words among the first ``sample`` words; '' where there is too little."""
     found = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[a-zà-öø-ÿ]+"), F.lit(0))
     head = F.slice(found, 1, sample)
-    scores = {lang: F.size(F.filter(head, lambda w, v=ws: w.isin(v.split()))) for lang, ws in FUNCTION_WORDS.items()}
+    scores = {lang: _among(head, ws) for lang, ws in FUNCTION_WORDS.items()}
     return F.when((F.length(F.coalesce(text, F.lit(""))) < chars) | (F.size(found) < words), "").otherwise(_best(scores, least, ""))
 
 
@@ -56,7 +60,7 @@ def detect_by_hints(text: Column) -> Column:
     """By title words; needs two different ones and a lead over the second language."""
     spaced = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[-_./%+]", " ")
     found = F.regexp_extract_all(spaced, F.lit(r"[a-zà-öø-ÿ]{3,}"), F.lit(0))
-    scores = {lang: F.size(F.filter(found, lambda w, v=ws: w.isin(v.split()))) for lang, ws in TITLE_HINTS.items()}
+    scores = {lang: _among(found, ws) for lang, ws in TITLE_HINTS.items()}
     kinds = {lang: F.size(F.array_intersect(F.array_distinct(found), lit_array(ws.split()))) for lang, ws in TITLE_HINTS.items()}
     second = F.get(F.sort_array(F.array(*scores.values()), asc=False), F.lit(1))
     out = F.lit("")

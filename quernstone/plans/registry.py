@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quernstone.plans import corpus, matching, timestamps
+from quernstone.plans import corpus, fields, matching, reading, timestamps
 
-_MODULES = [timestamps, corpus, matching]
+_MODULES = [timestamps, corpus, matching, fields, reading]
 
 
 def queries() -> dict:
