@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quernstone.plans import corpus, fields, matching, reading, timestamps
+from quernstone.plans import corpus, fields, matching, reading, records, timestamps
 
-_MODULES = [timestamps, corpus, matching, fields, reading]
+_MODULES = [timestamps, corpus, matching, fields, reading, records]
 
 
 def queries() -> dict:
