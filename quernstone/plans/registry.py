@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quernstone.plans import corpus, fields, matching, reading, records, timestamps
+from quernstone.plans import corpus, exchange, fields, matching, reading, records, timestamps
 
-_MODULES = [timestamps, corpus, matching, fields, reading, records]
+_MODULES = [timestamps, corpus, matching, fields, reading, records, exchange]
 
 
 def queries() -> dict:
