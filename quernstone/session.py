@@ -9,11 +9,14 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN_DIRS: dict[str, str] = {}
 _WRITTEN: list[tuple[SparkSession, str]] = []
+_SHIPPED: set[str] = set()
 
 
 def get_spark(app: str = "quernstone", master: str = "local[*]", shuffle_partitions: int = 8) -> SparkSession:
@@ -32,6 +35,24 @@ def get_spark(app: str = "quernstone", master: str = "local[*]", shuffle_partiti
     )
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors, once per application.
+
+    Workers unpickle functions of this package; on a cluster nothing else puts
+    it on their path.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="quernstone-")) / "quernstone_package.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, str(f.relative_to(root.parent)))
+    spark.sparkContext.addPyFile(str(target))
+    _SHIPPED.add(app)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
