@@ -21,11 +21,11 @@ from quernstone.llm.linear import bag_probability, fit, hashed, pack
 from quernstone.llm.skeleton import folded
 from quernstone.session import materialize
 
-BITS = 16
+BITS = 18
 
 _PLACEHOLDER = re.compile(
     r"\{\{\s*[\w.]+\s*\}\}|[$#]?\{[\w.]+\}|<%=?\s*[\w.]+\s*%>|\[%\s*[\w.]+\s*%\]|\[\[\s*[\w.]+\s*\]\]|<<\s*[\w.]+\s*>>"
-    r"|&lt;\s*[\w.]+\s*&gt;|<[A-Za-z_]\w*>|@@[\w.]+@@|__[A-Za-z][\w.]*?__|%[A-Za-z_]\w*%|\$[A-Za-z_][\w.]*\$"
+    r"|&lt;\s*[\w.]+\s*&gt;|<[A-Za-z_]\w*>|@@[\w.]+@@|__[A-Za-z][\w.]*?__|%[A-Za-z_][\w.]*%|\$[A-Za-z_][\w.]*\$"
 )
 
 # Phrases that only such text uses (accents removed, lower case).
@@ -36,7 +36,7 @@ _PHRASES = [
     r"scripts may be blocked", r"turn them on in your browser", r"reglages de votre navigateur", r"verification de votre navigateur",
     r"checking (that )?your browser", r"comprobando su navegador", r"a verificar o seu navegador", r"browser wird (gepruft|uberpruft)", r"loading viewer",
     # error pages
-    r"\b(erreur|error|fehler|erro) [45]\d\d ?:", r"^(acces refuse|access denied|acceso denegado|acesso negado|zugriff verweigert)\.?$",
+    r"\b(erreur|error|fehler|erro) [45]\d\d ?:", r"^[45]\d\d (not found|forbidden|bad gateway|service unavailable|gone)", r"^(acces refuse|access denied|acceso denegado|acesso negado|zugriff verweigert)\.?$",
     r"vous n.avez pas l.autorisation", r"no tiene permiso", r"nao tem permissao", r"you do not have permission", r"keine berechtigung",
     r"momentanement indisponible", r"service unavailable", r"temporariamente indisponivel", r"temporalmente (no )?disponible", r"vorubergehend nicht verfugbar",
     r"delai d.attente depasse", r"gateway time-?out", r"internal server error", r"down for maintenance", r"request was blocked", r"request id\b",
@@ -45,9 +45,9 @@ _PHRASES = [
     # unfilled text
     r"votre texte ici", r"your text here", r"(escriba )?su texto aqui", r"o seu texto aqui", r"ihr text hier", r"inserer ici", r"insert \w+ here", r"inserte aqui",
     r"insira aqui", r"hier zusammenfassung", r"cliquez pour ajouter", r"click to add", r"durch klicken hinzufugen", r"haga clic para", r"clique para",
-    r"texte d.exemple", r"sample text", r"texto de (ejemplo|exemplo)", r"blindtext", r"\[resume a completer\]", r"\[text folgt\]", r"goes here", r"xxxx",
+    r"texte d.exemple", r"sample text", r"texto de (ejemplo|exemplo)", r"blindtext", r"\[resume a completer\]", r"\[resum\w+ (por preencher|pendiente)\]", r"^todo\b", r"\[text folgt\]", r"goes here", r"xxxx",
     r"titre ici", r"enter a short description", r"description du document\)",
-    r"^(sans titre|untitled( document)?|ohne titel|sin titulo|sem titulo|titre du document|document title|new document|nouveau document|titulo del documento|neues dokument|novo documento|\[?titre\]?|title|titre)( ?\d+)?$",
+    r"^(sans titre|untitled( document)?|ohne titel|sin titulo|sem titulo|titre du document|document title|new document|nouveau document|titulo del documento|neues dokument|novo documento|\[?titre\]?|title|titre)([-_ ]?\d+)?$",
     # filler
     r"lorem ipsum|ipsum lorem|dolor sit amet",
 ]
@@ -60,7 +60,7 @@ _FILLER = set("lorem ipsum dolor sit amet consectetur adipiscing elit sed eiusmo
 _SOFT = re.compile(r"\b(error|erreur|fehler|erro|refuse|denied|denegado|negado|verweigert|indisponible|unavailable|javascript|script|navigateur|browser|navegador|not found|introuvable|404|403|500|502|503)\b")
 
 
-_SPLIT = re.compile(r"(?<=[.!?…])\s+|\n+|\s[|–]\s")
+_SPLIT = re.compile(r"(?<=[.!?…])\s+|\n+")
 
 
 def segments(value: str) -> list[str]:
@@ -139,7 +139,7 @@ def _values(df: DataFrame, key: str, fields: dict[str, tuple[Column, bool]], sta
 
 
 def train_residue(
-    df: DataFrame, key: str, fields: dict[str, tuple[Column, bool]], status: Column, url: Column, sample: int = 8_000, held_out: float = 0.2
+    df: DataFrame, key: str, fields: dict[str, tuple[Column, bool]], status: Column, url: Column, sample: int = 15_000, held_out: float = 0.2
 ) -> tuple[Residue, dict[str, float]]:
     """Model and its measures on unseen hosts.
 
@@ -181,7 +181,7 @@ def train_residue(
     if not len(rows) or y.sum() == 0:
         return Residue(np.zeros(1 << BITS, np.float32), -9.0), {"n_train": float(len(rows))}
     fit_on = [i for i in range(len(rows)) if not test[i]] or list(range(len(rows)))
-    w, bias = fit(pack([feats[i] for i in fit_on], [y[i] for i in fit_on]), BITS, l2=2e-6, rounds=150, bias=-2.0)
+    w, bias = fit(pack([feats[i] for i in fit_on], [y[i] for i in fit_on]), BITS, l2=1e-6, rounds=150, bias=-3.0, balance=False)
     measures = {"n_train": float(len(fit_on)), "n_test": float(test.sum())}
     if test.any():
         p = bag_probability(pack([feats[i] for i in np.flatnonzero(test)], list(y[test])), w, bias)
