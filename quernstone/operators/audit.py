@@ -69,6 +69,24 @@ def date_confidence(stored: Column, found: Column) -> Column:
     return F.when((a == "") & (b == ""), "none").when(a == b, "high").when((a == "") | (b == ""), "low").when(F.substring(a, 1, 4) == F.substring(b, 1, 4), "medium").otherwise("conflict")
 
 
+def candidate_confidence(candidate: Column, from_text: Column, blob: Column) -> Column:
+    """Trust in a date candidate by the years named in the record's own texts.
+
+    ``conflict`` where another year, three off or more, is named; ``high``
+    where the year is named; ``medium`` where the candidate was read out of the
+    texts; ``low`` for one of the file's data alone; ``none`` without any.
+    """
+    year = F.nullif(F.substring(F.coalesce(candidate, F.lit("")), 1, 4), F.lit("")).try_cast("int")
+    named = F.transform(F.regexp_extract_all(F.coalesce(blob, F.lit("")), F.lit(r"\b(1[5-9]\d\d|20\d\d)\b"), F.lit(1)), lambda y: y.cast("int"))
+    return (
+        F.when(year.isNull(), "none")
+        .when(F.exists(named, lambda y: F.abs(y - year) >= 3), "conflict")
+        .when(F.exists(named, lambda y: y == year), "high")
+        .when(F.coalesce(from_text, F.lit("")) == candidate, "medium")
+        .otherwise("low")
+    )
+
+
 def counts(df: DataFrame, issues: str = "issues") -> DataFrame:
     return df.select(F.explode(issues).alias("issue")).groupBy("issue").agg(F.count(F.lit(1)).alias("n"))
 

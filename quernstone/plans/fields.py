@@ -151,6 +151,10 @@ def oracle_sql() -> dict[str, str]:
             else list_sum(list_transform(range(1, 11), lambda i: (case when s[i] = 'X' then 10 else cast(s[i] as int) end) * (11 - i))) % 11 = 0 end)[1], '') as isbn,
             lower(regexp_extract({hay}, '(?i)\b(?:hal|tel|halshs|hprints)-\d{{6,}}\b')) as hal_id from catalog_docs""",
         "publishers": f"select id, case when {soft} then '' else p end as publisher from (select id, coalesce(nullif(trim(editeur), ''), nullif(trim(meta.pdf_creator), ''), '') as p from catalog_docs)",
+        "humanized_filenames": rf"""select id, trim(translate(regexp_replace(coalesce(filename, ''), '(?i)\.[a-z0-9]+$', ''), '_-', '  ')) as name,
+            length(c) < 4 or regexp_matches(c, '(?i)\.(pdf|doc|docx|odt|cdr|indd|qxd|pub|txt)$') or (contains(c, '_') and not contains(c, ' ')) or (length(stem) > 0 and lower(c) = lower(stem))
+            or len(list_filter(string_split_regex(c, '[\s\-—:·]+'), lambda w: length(w) > 2)) < 2 as meaningless
+            from (select id, filename, trim(coalesce(meta.pdf_title, '')) as c, regexp_replace(coalesce(filename, ''), '(?i)\.[a-z0-9]{{2,4}}$', '') as stem from catalog_docs)""",
         "excerpts": rf"""select id, case when {sep('.')} when {sep('!')} when {sep('?')} else substr({first}, 1, 300) end as sentence,
             case when length({short}) > 280 then rtrim(substr({short}, 1, 280)) || '…' else {short} end as short,
             substr(trim(regexp_replace(regexp_replace(coalesce('<p>' || title || '</p>' || chr(10) || '<b>' || source || '</b>', ''), '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')), 1, 400) as plain from catalog_docs""",

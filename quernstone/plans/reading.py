@@ -135,6 +135,8 @@ _PROBE = f"(case when len({_WORDS}) >= 4 then array_to_string(list_slice({_WORDS
 _VERIFIED = f"""with {_TEXTS}, b as (select id, {_match('text')} as body from t), q as (select cit_id, id, {_match('quote')} as m from citations), v as (select cit_id, id, bool_or(coalesce(m <> '' and contains(body, m), false)) as exact,
   bool_or(coalesce(contains(body, {_PROBE}), false)) as partial from q left join b using (id) group by all)"""
 _PG = r"(select doc_id, cast(regexp_extract(part, '\[p\.(\d+)\]', 1) as int) as page_no, trim(regexp_replace(part, '^\[p\.\d+\]', '')) as text from (select doc_id, unnest(string_split(replace('[p.0]' || text, '[p.', chr(1) || '[p.'), chr(1))) as part from documents) where part <> '')"
+_ISO = r"\b((?:1[5-9]\d\d|20[0-4]\d)-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01]))\b"
+_YR = r"\b(1[5-9]\d\d|20[0-4]\d)\b"
 _URL = "(contains(s, 'http://') or contains(s, 'https://'))"
 
 
@@ -177,6 +179,15 @@ def oracle_sql() -> dict[str, str]:
         ]) + ") group by issue",
         "enrichment_retries": rf"""with i as (select id, coalesce(enrichment.summary, '') as s, enrichment.en_clair as p from catalog_docs where enrichment is not null and enrichment.error is null)
             select id, 'summary' as field from i where trim(s) = '' or {real} < 80 or regexp_matches(s, 'https?://') union all select id, 'en_clair' from i where coalesce(trim(p), '') = ''""",
+        "date_confidence": rf"""with r as (select coalesce(meta.creation_date, '') as c, regexp_extract(coalesce(doc_date, ''), '{_ISO}', 1) as d, regexp_extract(coalesce(doc_date, ''), '{_YR}', 1) as y from catalog_docs),
+            v as (select case when try_cast(substr(d, 1, 4) as int) between 1800 and {YEAR_NOW + 2} then d when try_cast(y as int) between 1800 and {YEAR_NOW + 2} then y else '' end as a,
+            regexp_extract(c, '(1[5-9]\d\d|20[0-4]\d)', 1) as cy, regexp_extract(c, '(?:1[5-9]\d\d|20[0-4]\d)(\d\d)', 1) as m, regexp_extract(c, '(?:1[5-9]\d\d|20[0-4]\d)\d\d(\d\d)', 1) as dd from r),
+            w as (select a, case when m between '01' and '12' and dd between '01' and '31' then cy || '-' || m || '-' || dd else cy end as b from v)
+            select case when a = '' and b = '' then 'none' when a = b then 'high' when a = '' or b = '' then 'low' when substr(a, 1, 4) = substr(b, 1, 4) then 'medium' else 'conflict' end as confidence, count(*) as n from w group by 1""",
+        "footnote_links": rf"""with l as (select doc_id, page_no, string_split(text, chr(10)) as ls from {_PG} where page_no > 0 or text <> ''), u as (select doc_id, page_no, len(ls) as n, unnest(range(0, len(ls))) as i, unnest(ls) as line from l),
+            k as (select * from u where regexp_matches(line, '^\s*([¹²³⁴⁵⁶⁷⁸⁹⁰]+|\d{{1,3}}[.)]?)\s+\S') or i >= n // 2)
+            select distinct doc_id, page_no, kind, target from (select doc_id, page_no, 'url' as kind, regexp_replace(unnest(regexp_extract_all(line, 'https?://[^\s)"''<>\]]+')), '[.,);]+$', '') as target from k
+            union all select doc_id, page_no, 'doi', 'https://doi.org/' || regexp_replace(unnest(regexp_extract_all(line, '\b10\.\d{{4,9}}/[-._;()/:A-Za-z0-9]+')), '[.,);]+$', '') from k)""",
         "orphan_records": f"""with p as (select id from catalog_docs where {PUBLISHABLE}), r as (select distinct catalog_id as id from documents where catalog_id is not null), q as (select distinct id from citations where id is not null),
             u as (select id from p union select id from r union select id from q) select * from (select id, id in (select id from p) as publishable, id in (select id from r) as read, id in (select id from q) as quoted from u)
             where not (publishable and read and quoted)""",

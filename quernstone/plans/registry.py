@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quernstone.plans import corpus, exchange, fields, matching, reading, records, timestamps
+from quernstone.plans import corpus, exchange, fields, matching, reading, records, timestamps, upkeep
 
-_MODULES = [timestamps, corpus, matching, fields, reading, records, exchange]
+_MODULES = [timestamps, corpus, matching, fields, reading, records, exchange, upkeep]
 
 
 def queries() -> dict:
