@@ -39,35 +39,44 @@ def _among(words: Column, listed: str) -> Column:
     return F.size(F.filter(words, lambda w: w.isin(listed.split())))
 
 
+def once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` worked out once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _ranked(scores: dict[str, Column], **more: dict[str, Column]) -> Column:
+    """Languages by score, the first listed first on ties."""
+    rows = [F.struct(s.alias("score"), F.lit(-i).alias("place"), F.lit(lang).alias("lang"), *[m[lang].alias(n) for n, m in more.items()]) for i, (lang, s) in enumerate(scores.items())]
+    return F.sort_array(F.array(*rows), asc=False)
+
+
 def _best(scores: dict[str, Column], least: int, none: str) -> Column:
-    """The language of the highest score, the first listed on ties."""
-    top = F.greatest(*scores.values())
-    out = F.lit(none)
-    for lang, s in reversed(scores.items()):
-        out = F.when(s == top, F.lit(lang)).otherwise(out)
-    return F.when(top >= least, out).otherwise(F.lit(none))
+    """The language of the highest score if it reaches ``least``."""
+    return once(_ranked(scores), lambda r: F.when(r[0]["score"] >= least, r[0]["lang"]).otherwise(F.lit(none)))
 
 
 def detect_language(text: Column, chars: int = 80, words: int = 30, sample: int = 600, least: int = 5) -> Column:
     """By function words among the first ``sample`` words; '' where there is too little."""
     found = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[a-zà-öø-ÿ]+"), F.lit(0))
-    head = F.slice(found, 1, sample)
-    scores = {lang: _among(head, ws) for lang, ws in FUNCTION_WORDS.items()}
-    return F.when((F.length(F.coalesce(text, F.lit(""))) < chars) | (F.size(found) < words), "").otherwise(_best(scores, least, ""))
+
+    def judge(w: Column) -> Column:
+        best = once(F.slice(w, 1, sample), lambda head: _best({lang: _among(head, ws) for lang, ws in FUNCTION_WORDS.items()}, least, ""))
+        return F.when(F.size(w) < words, "").otherwise(best)
+
+    return F.when(F.length(F.coalesce(text, F.lit(""))) < chars, "").otherwise(once(found, judge))
 
 
 def detect_by_hints(text: Column) -> Column:
     """By title words; needs two different ones and a lead over the second language."""
     spaced = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[-_./%+]", " ")
     found = F.regexp_extract_all(spaced, F.lit(r"[a-zà-öø-ÿ]{3,}"), F.lit(0))
-    scores = {lang: _among(found, ws) for lang, ws in TITLE_HINTS.items()}
-    kinds = {lang: F.size(F.array_intersect(F.array_distinct(found), lit_array(ws.split()))) for lang, ws in TITLE_HINTS.items()}
-    second = F.get(F.sort_array(F.array(*scores.values()), asc=False), F.lit(1))
-    out = F.lit("")
-    top = F.greatest(*scores.values())
-    for lang, s in reversed(scores.items()):
-        out = F.when(s == top, F.when((kinds[lang] >= 2) & (second < s), F.lit(lang)).otherwise(F.lit(""))).otherwise(out)
-    return out
+
+    def judge(w: Column) -> Column:
+        scores = {lang: _among(w, ws) for lang, ws in TITLE_HINTS.items()}
+        kinds = {lang: F.size(F.array_intersect(F.array_distinct(w), lit_array(ws.split()))) for lang, ws in TITLE_HINTS.items()}
+        return once(_ranked(scores, kinds=kinds), lambda r: F.when((r[0]["kinds"] >= 2) & (r[1]["score"] < r[0]["score"]), r[0]["lang"]).otherwise(F.lit("")))
+
+    return once(found, judge)
 
 
 def guess_language(text: Column) -> Column:
