@@ -60,5 +60,5 @@ def with_defaults(left: DataFrame, counts: DataFrame, on: str, zero: list[str])
 
 def bars(df: DataFrame, label: str, n: str) -> DataFrame:
     """Shares of the total, empty rows dropped."""
-    total = df.agg(F.sum(n).alias("__total"))
-    return df.where(F.col(n) > 0).crossJoin(F.broadcast(total)).select(label, n, F.bround(100 * F.col(n) / F.col("__total"), 1).alias("percent"))
+    total = df.agg(F.sum(n)).scalar()
+    return df.where(F.col(n) > 0).select(label, n, F.bround(100 * F.col(n) / total, 1).alias("percent"))
