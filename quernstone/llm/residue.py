@@ -146,7 +146,8 @@ def train_residue(
     The training set is at most ``sample`` distinct sentences of each stratum
     (residue; titles and sentences that share words with it; all others; those
     with the smallest hashes) from ``1 - held_out`` of the hosts;
-    sentences of the other hosts only measure. Counting and labelling run over
+    sentences of the other hosts measure a first model; the model
+    that is given back is then fitted to all of them. Counting and labelling run over
     all rows on the executors.
     """
     vals = _values(df, key, fields, status, url)
@@ -181,12 +182,15 @@ def train_residue(
     if not len(rows) or y.sum() == 0:
         return Residue(np.zeros(1 << BITS, np.float32), -9.0), {"n_train": float(len(rows))}
     fit_on = [i for i in range(len(rows)) if not test[i]] or list(range(len(rows)))
-    w, bias = fit(pack([feats[i] for i in fit_on], [y[i] for i in fit_on]), BITS, l2=1e-6, rounds=150, bias=-3.0, balance=False)
+    settings = {"l2": 1e-6, "rounds": 150, "bias": -3.0, "balance": False}
+    w, bias = fit(pack([feats[i] for i in fit_on], [y[i] for i in fit_on]), BITS, **settings)
     measures = {"n_train": float(len(fit_on)), "n_test": float(test.sum())}
     if test.any():
         p = bag_probability(pack([feats[i] for i in np.flatnonzero(test)], list(y[test])), w, bias)
         hit = p >= 0.5
         measures |= {"recall": float(hit[y[test] > 0].mean()) if (y[test] > 0).any() else 1.0, "false_rate": float(hit[y[test] == 0].mean()) if (y[test] == 0).any() else 0.0}
+    if test.any():  # measured; the model in use learns from all hosts
+        w, bias = fit(pack(feats, list(y)), BITS, **settings)
     return Residue(w, bias), measures
 
 
