@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from functools import lru_cache
+from itertools import product
 
 import numpy as np
 import pandas as pd
@@ -63,10 +64,10 @@ def _org_word(w: str) -> bool:
 class Parsed:
     """One spelling: ``kind`` (person, org, none), long tokens, initials."""
 
-    __slots__ = ("kind", "tokens", "initials", "stripped")
+    __slots__ = ("kind", "tokens", "initials")
 
-    def __init__(self, kind: str, tokens: tuple[str, ...], initials: tuple[str, ...], stripped: tuple[str, ...]):
-        self.kind, self.tokens, self.initials, self.stripped = kind, tokens, initials, stripped
+    def __init__(self, kind: str, tokens: tuple[str, ...], initials: tuple[str, ...]):
+        self.kind, self.tokens, self.initials = kind, tokens, initials
 
 
 #: A nickname in quotes beside the full name adds nothing to it.
@@ -77,21 +78,20 @@ _QUOTED = re.compile(r"\s[«“„\"‘'(][^«»“”\"]{2,20}?[»”“\"’')
 def parse(spelling: str) -> Parsed:
     plain = re.sub(r"\s+", " ", folded(_QUOTED.sub(" ", spelling))).strip()
     if not plain or _NO_ENTITY.match(plain):
-        return Parsed("none", (), (), ())
+        return Parsed("none", (), ())
     words = re.findall(r"[^\W\d_]+(?:-[^\W\d_]+)*\.?", re.sub(r"['’]", " ", plain))
     bare = [w.rstrip(".") for w in words]
     if any(_org_word(w) for w in bare) or re.match(r"\s*[A-Z]\. [a-zà-ÿ]{4,} (de|des|du|of|von|dos|da)\b", spelling):
         acronym = re.findall(r"\(([A-Z]{2,6})\)|^([A-Z]{2,6}) [–-] ", spelling)
         drop = {folded(x) for pair in acronym for x in pair if x}
         tokens = tuple(w for w, full in zip(bare, words, strict=True) if w not in _SMALL and w not in drop and (len(w) > 1 or full.endswith(".")))
-        return Parsed("org" if len(tokens) > 1 else "none", tokens, (), ())
+        return Parsed("org" if len(tokens) > 1 else "none", tokens, ())
     names = [(w, b) for w, b in zip(words, bare, strict=True) if b not in _TITLES or (w.endswith(".") and len(b) == 1)]
     initials = tuple(b[0] for w, b in names if len(b) == 1 or (w.endswith(".") and len(b) <= 3) or re.fullmatch(r"[a-z]\.?-[a-z]", b))
     tokens = tuple(b for w, b in names if len(b) > 1 and b not in _PARTICLES and not (w.endswith(".") and len(b) <= 3) and not re.fullmatch(r"[a-z]-[a-z]", b))
-    stripped = tuple(t[len(p) :] for t in tokens for p in _PARTICLES if len(p) > 1 and t.startswith(p) and len(t) - len(p) >= 5)
     if len(tokens) + len(initials) < 2 or len(tokens) > 4 or not tokens:
-        return Parsed("none", tokens, initials, stripped)
-    return Parsed("person", tokens, initials, stripped)
+        return Parsed("none", tokens, initials)
+    return Parsed("person", tokens, initials)
 
 
 def near(a: str, b: str) -> bool:
@@ -166,17 +166,19 @@ def compare(x: str, y: str) -> int:
     if a.kind == "org":
         if len(a.tokens) != len(b.tokens):
             return 0
-        left = list(b.tokens)
+        mine, left = sorted(a.tokens, key=len, reverse=True), list(b.tokens)
         proper = 0
-        for t in sorted(a.tokens, key=len, reverse=True):
-            hit = next((u for u in left if t == u), None) or next((u for u in left if near(t, u)), None)
-            if hit is None:
-                hit = next((u for u in left if _abbreviates(t, u)), None)
-            elif not _org_word(t) and len(t) >= 5:
-                proper += 1
-            if hit is None:
-                return 0
-            left.remove(hit)
+        # the surest agreement first, else an abbreviation may take another word's partner
+        for agree in (str.__eq__, near, _abbreviates):
+            for t in list(mine):
+                hit = next((u for u in left if agree(t, u)), None)
+                if hit is None:
+                    continue
+                proper += agree is not _abbreviates and not _org_word(t) and len(t) >= 5
+                mine.remove(t)
+                left.remove(hit)
+        if mine:
+            return 0
         return 2 if proper else 0
     if len(a.tokens) > 1 and len(b.tokens) > 1:
         best = 0
@@ -218,26 +220,60 @@ def _deletions(t: str) -> set[str]:
     return {t} | {t[:i] + t[i + 1 :] for i in range(len(t))} if len(t) >= 4 else {t}
 
 
-def block_keys(spelling: str, common: frozenset[str]) -> set[str]:
-    """Blocks of a spelling: its rare tokens with one letter left out.
+def _forms(t: str) -> set[str]:
+    """Two tokens that ``_joined`` or ``near`` accept share one of these."""
+    return _deletions(t) | {t[len(p) :] for p in _PARTICLES if t.startswith(p) and len(t) - len(p) > 1}
+
+
+def hot_forms(common: frozenset[str]) -> frozenset[str]:
+    """Forms that stand for a common token and so need a second part as key."""
+    return frozenset(d for t in common for d in _forms(t))
+
+
+def _given_keys(u: str) -> set[str]:
+    """Given names that agree share one: an edit leaves the first two letters or what follows them."""
+    return {u[:2], f"~{u[2:]}", f"~{u[3:]}"} | {f[:2] for f in _FULL_OF.get(u, ())}
 
-    Two tokens at most one edit apart share such a form. Where every token is
-    common (a frequent surname), pairs of tokens and of token and initial
-    serve instead, so nothing is left without a block.
+
+def _org_keys(others: list[str], most: int = 4) -> set[str]:
+    """Words that agree one by one share a letter of their first two; more than ``most`` words give one key a letter."""
+    letters = [sorted(set(u[:2])) for u in others]
+    if len(others) > most:
+        return {f"{len(others)} {c}" for cs in letters for c in cs}
+    return {f"{len(others)} {''.join(sorted(cs))}" for cs in product(*letters)}
+
+
+def block_keys(spelling: str, hot: frozenset[str]) -> set[tuple[str, bool]]:
+    """``(block, short)`` of a spelling; any two that ``compare`` accepts share one.
+
+    Each token may be the one that agrees (the surname), so each gives its
+    forms. A form that is ``hot`` gives no block of its own but one with each
+    key of what stands beside it. Whether a form is hot does not depend on
+    the spelling, so both sides decide alike. ``short`` blocks are for
+    initials: only pairs with a name of one token need comparing there.
     """
     p = parse(spelling)
     if p.kind == "none":
         return set()
-    proper = [t for t in p.tokens if not _org_word(t)] if p.kind == "org" else [*p.tokens, *p.stripped]
-    rare = [t for t in proper if t not in common]
-    keys = {d for t in rare for d in _deletions(t)}
-    if not rare:
-        for i, t in enumerate(p.tokens):
-            others = [u for k, u in enumerate(p.tokens) if k != i]
-            for d in _deletions(t):
-                keys |= {f"{d} {u}" for u in others} | {f"{d} {u[0]}" for u in [*others, *p.initials]}
-                keys |= {f"{d} {f[0]}" for u in others for f in _FULL_OF.get(u, ())}
-    return {f"{p.kind} {k}" for k in keys}
+    keys: set[tuple[str, bool]] = set()
+    for i, t in enumerate(p.tokens):
+        # words of organisations count from five letters on, and not if listed
+        if p.kind == "org" and (len(t) < 4 or (len(t) > 4 and t in _ORG_WORDS)):
+            continue
+        forms = _forms(t) if p.kind == "person" else _deletions(t)
+        keys |= {(d, False) for d in forms - hot}
+        if not (at := forms & hot):
+            continue
+        others = [u for k, u in enumerate(p.tokens) if k != i]
+        if p.kind == "org":
+            beside = {(k, False) for k in _org_keys(others)}
+        elif others:
+            beside = {(k, False) for k in _given_keys(_given(p.tokens, i))}
+            beside |= {(f"{c}.", True) for u in others for c in {u[0], *(f[0] for f in _FULL_OF.get(u, ()))}}
+        else:
+            beside = {(f"{p.initials[0]}.", True)}
+        keys |= {(f"{d} {k}", short) for d in at for k, short in beside}
+    return {(f"{p.kind} {k}", short) for k, short in keys}
 
 
 def _common_tokens(names: DataFrame, share: float, floor: int) -> frozenset[str]:
@@ -277,18 +313,19 @@ def _edges(profiles: DataFrame, common: frozenset[str], limit: int, known: dict[
 
     def emit(batches):
         learn_nicknames(known)
+        hot = hot_forms(common)
         for pdf in batches:
-            rows = [(k, s, c) for s, c in zip(pdf["name"], pdf["profile"], strict=True) for k in block_keys(s, common)]
-            yield pd.DataFrame(rows, columns=["key", "name", "profile"])
+            rows = [(k, short, s, c) for s, c in zip(pdf["name"], pdf["profile"], strict=True) for k, short in block_keys(s, hot)]
+            yield pd.DataFrame(rows, columns=["key", "short", "name", "profile"])
 
-    keyed = profiles.mapInPandas(emit, "key string, name string, profile string").withColumn("key", F.xxhash64("key"))
-    tiles = split_hot(keyed, "key", "name", limit).select("tile", "side", "name", "profile")
+    keyed = profiles.mapInPandas(emit, "key string, short boolean, name string, profile string").withColumn("key", F.xxhash64("key"))
+    tiles = split_hot(keyed, "key", "name", limit).select("tile", "side", "short", "name", "profile")
 
     def match(pdf: pd.DataFrame, bounds: np.ndarray) -> pd.DataFrame:
         learn_nicknames(known)
         out: dict[tuple[str, str], int] = {}
         done: set[tuple[str, str]] = set()
-        name, prof, side = pdf["name"].tolist(), pdf["profile"].tolist(), pdf["side"].tolist()
+        name, prof, side, short = pdf["name"].tolist(), pdf["profile"].tolist(), pdf["side"].tolist(), pdf["short"].tolist()
         sizes = np.diff(bounds)
         for g in np.flatnonzero(sizes > 1):
             lo, hi = int(bounds[g]), int(bounds[g + 1])
@@ -298,8 +335,12 @@ def _edges(profiles: DataFrame, common: frozenset[str], limit: int, known: dict[
                 by[prof[i]].append(i)
             if len(by) < 2:
                 continue
-            for i in range(lo, hi):
-                for j in range(i + 1, hi):
+            rows, first = list(range(lo, hi)), hi - lo
+            if short[lo]:
+                rows.sort(key=lambda i: len(parse(name[i]).tokens))
+                first = sum(len(parse(name[i]).tokens) == 1 for i in rows)
+            for k, i in enumerate(rows[:first], 1):
+                for j in rows[k:]:
                     if prof[i] == prof[j] or (cross and side[i] == side[j]):
                         continue
                     pair = (name[i], name[j]) if name[i] < name[j] else (name[j], name[i])

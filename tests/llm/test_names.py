@@ -23,6 +23,10 @@ def test_compare(pairs, want):
         assert N.compare(a, b) == want == N.compare(b, a), (a, b)
 
 
+def test_abbreviation_takes_no_other_words_partner():
+    assert N.compare("Jta. Regantes de Jtifarzokia", "Jta. Regantes de Jitrorfipia") == 0
+
+
 def test_near_is_one_edit():
     def slow(a, b):
         d = {}
@@ -81,6 +85,39 @@ def test_common_surname_keeps_blocks(spark):
     assert got["Octave Besvirhuzia"] == got["Besvirhuzia Octav"] == got["O. Besvirhuzia"] != got["Hortense Besvirhuzia"]
 
 
+def test_mixed_rare_and_common_tokens(spark):
+    rnd = random.Random(3)
+    made = lambda: "".join(rnd.choice("bcdfghkmpqrtvwxz") for _ in range(9))
+    rows = [f"{made()} Martinel" for _ in range(70)] + [f"Jeannic {made()}" for _ in range(70)]
+    rows += ["Isaline Martinel", "I. Martinel", "Jeannic Martinel", "Jaennic Martinel", "Eannic Martinel", "Alexandre Martinel", "Lexandre Martinel"]
+    got = resolve(spark, rows)
+    assert got["Isaline Martinel"] == got["I. Martinel"] != got["Jeannic Martinel"]
+    assert got["Jeannic Martinel"] == got["Jaennic Martinel"] == got["Eannic Martinel"]
+    assert got["Alexandre Martinel"] == got["Lexandre Martinel"]
+
+
+def test_names_that_agree_share_a_block():
+    rnd = random.Random(4)
+    base = [s for p in SAME + POSSIBLE + DIFFERENT for s in p] + ["Jean Martin", "J. Martin", "Bob Martin", "Jean-Paul Vandyck", "Jean Paul Dyck", "Inst. recherche rur. Zelm.", "Robert Le Martin"]
+
+    def spoil(s):
+        for _ in range(rnd.randrange(3)):
+            i = rnd.randrange(1, len(s))
+            s = rnd.choice([s[:i] + s[i + 1 :], s[:i] + rnd.choice("aejmrz") + s[i:], s[: i - 1] + s[i] + s[i - 1] + s[i + 1 :]])
+        return s
+
+    names = sorted({spoil(s) for s in base for _ in range(12)} | set(base))
+    words = sorted({t for s in names for t in N.parse(s).tokens})
+    for share in (0.0, 0.3, 0.7, 1.0):
+        hot = N.hot_forms(frozenset(w for w in words if rnd.random() < share))
+        keys = {s: N.block_keys(s, hot) for s in names}
+        for i, a in enumerate(names):
+            for b in names[i + 1 :]:
+                if N.compare(a, b):
+                    both = keys[a] & keys[b]
+                    assert any(not short or 1 in (len(N.parse(a).tokens), len(N.parse(b).tokens)) for _, short in both), (a, b)
+
+
 def test_empty_and_pairs(spark):
     assert resolve(spark, []) == {}
     df = spark.createDataFrame([("b", "e"), ("a", "e"), ("c", "f")], "name string, entity string")
