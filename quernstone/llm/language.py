@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quernstone.llm.skeleton import folded
@@ -143,22 +143,25 @@ class Compressors:
 def train_dictionaries(labelled: DataFrame, text: str, tag: str, sample_per_language: int = 1500, dict_bytes: int = 96_000) -> dict[str, bytes]:
     """Raw-content dictionaries from at most ``sample_per_language`` texts each.
 
-    The sample is the rows with the smallest hashes of their text, so it is the
-    same in every run. Labels may be wrong: only sentences whose words agree
-    with their label enter. Without any labelled row the seed words remain.
+    The sample is the different texts with the smallest hashes, so it is the
+    same in every run however often a text is copied; a dictionary takes their
+    sentences in that order up to ``dict_bytes``. Labels may be wrong: only
+    sentences whose words agree with their label enter. Without any labelled
+    row the seed words remain.
     """
     tags = {v: k for k, line in _TAG_NAMES.items() for v in line.split()}
     first = F.element_at(F.split(F.lower(F.trim(F.translate(F.col(tag), "çáàâãéèêíóôõúñöüäÇÉ", "caaaaeeeiooounouaCE"))), r"[-_ (;,]"), 1)
     name = F.create_map(*[F.lit(x) for kv in tags.items() for x in kv])[first]
-    picked = labelled.select(F.col(text).alias("t"), name.alias("lang")).where("t is not null and length(t) > 40 and lang is not null")
-    # A threshold on the hash keeps the expected sample bounded without a global sort.
+    picked = labelled.select(F.col(text).alias("t"), name.alias("lang")).where("t is not null and length(t) > 40 and lang is not null").distinct().withColumn("h", F.xxhash64("t"))
+    # A threshold that twice the sample is expected to pass spares a global sort.
     counts = {r["lang"]: r["n"] for r in picked.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    share = F.lit(1.0)
+    below = F.lit(2**63 - 1)
     for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, sample_per_language / n))).otherwise(share)
-    rows = picked.where((F.pmod(F.xxhash64("t"), F.lit(1_000_000)) / 1e6) < share).select("lang", "t").limit(2 * sample_per_language * len(LANGS)).collect()
+        below = F.when(F.col("lang") == lang, F.lit(min(2**63 - 1, 2**64 * (2 * sample_per_language + 100) // n - 2**63))).otherwise(below)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "t"))
+    rows = picked.where(F.col("h") <= below).withColumn("rank", rank).where(F.col("rank") <= sample_per_language).select("lang", "t", "rank").collect()
     by: dict[str, list[str]] = {x: [] for x in LANGS}
-    for r in sorted(rows, key=lambda r: (r["lang"], r["t"])):
+    for r in sorted(rows, key=lambda r: (r["lang"], r["rank"])):
         by[r["lang"]].extend(sentences(r["t"]))
 
     def build(chosen: dict[str, list[str]]) -> dict[str, bytes]:

@@ -103,6 +103,19 @@ def test_language_held_out(spark, sf):
     assert (seg["lang"] == seg["tag_lang"]).mean() > 0.85  # some tags are wrong on purpose
 
 
+def test_language_sample_of_different_texts(spark):
+    said = {"fr": "dans cette terre nous sommes avec les paysans et pour les communs", "en": "in this land they have been with the peasants and for the commons"}
+    rows = [(f"{c}{c}{c} {line} {c}{d}{c}{d}", lang) for lang, line in said.items() for c in "abcdefghijklmnopqrst" for d in "xyz"]
+    rows += [(f"{said['fr']} encore", "fr")] * 3000
+    df = spark.createDataFrame(rows, "t string, g string")
+    got = language.train_dictionaries(df, "t", "g", sample_per_language=20)
+    assert all(got[x].count(said[x].split()[-1].encode()) == 20 for x in said)
+    # the room goes by hash, not to the first letters
+    small = language.train_dictionaries(df, "t", "g", sample_per_language=60, dict_bytes=600)
+    firsts = [small["en"].count(f"{c}{c}{c} in this".encode()) for c in "abcdefghijklmnopqrst"]
+    assert sum(firsts) < 10 and any(firsts[5:])
+
+
 def test_language_without_labels(spark):
     d = language.train_dictionaries(spark.createDataFrame([], "t string, g string"), "t", "g")
     assert language.Compressors(d).stretches("the house of the people is in the land and they have been there for it")[0][0] == "en"
