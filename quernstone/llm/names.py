@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from functools import lru_cache
-from itertools import product
+from itertools import count, product
 
 import numpy as np
 import pandas as pd
@@ -356,13 +356,14 @@ def _edges(profiles: DataFrame, common: frozenset[str], limit: int, known: dict[
     return map_key_runs(tiles, "tile", match, "a string, b string, strength int").groupBy("a", "b").agg(F.max("strength").alias("strength"))
 
 
-def resolve_names(names: DataFrame, name: str = "name", limit: int = 2000, common_share: float = 0.001, common_floor: int = 60, max_rounds: int = 12) -> DataFrame:
+def resolve_names(names: DataFrame, name: str = "name", limit: int = 2000, common_share: float = 0.001, common_floor: int = 60, max_rounds: int | None = None) -> DataFrame:
     """``name, entity``: every distinct spelling with the entity it denotes.
 
     ``entity`` is the smallest spelling of the merged profile. Null and blank
     strings are left out, repeated rows count once; devices, accounts and
     single words stay alone. Blocks of more than ``limit`` rows are compared
-    in tiles, none is cut off.
+    in tiles, none is cut off. Rounds go on until one merges nothing, each
+    leaving fewer profiles; raises if ``max_rounds`` are given and do not suffice.
     """
 
     def full(batches):
@@ -375,12 +376,14 @@ def resolve_names(names: DataFrame, name: str = "name", limit: int = 2000, commo
     pool = materialize(pool.mapInPandas(full, "name string, full int"), "names")
     common = _common_tokens(pool, common_share, common_floor)
     profiles = materialize(pool.select("name", F.col("name").alias("profile"), "full"), "names")
-    for _ in range(max_rounds):
+    for _ in count() if max_rounds is None else range(max_rounds):
         edges = materialize(_edges(profiles, common, limit, known), "names")
         merged = _merge(profiles, edges)
         if merged is None:
             break
         profiles = merged
+    else:
+        raise RuntimeError("resolve_names: not converged")
     return profiles.select("name", F.col("profile").alias("entity"))
 
 

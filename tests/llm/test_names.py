@@ -118,6 +118,16 @@ def test_names_that_agree_share_a_block():
                     assert any(not short or 1 in (len(N.parse(a).tokens), len(N.parse(b).tokens)) for _, short in both), (a, b)
 
 
+def test_rounds_until_nothing_merges(spark, monkeypatch):
+    with pytest.raises(RuntimeError):
+        resolve(spark, ["Octave Besvirhuzia", "Besvirhuzia Octave"], max_rounds=1)
+    rounds = []
+    monkeypatch.setattr(N, "_edges", lambda profiles, *a: profiles)
+    monkeypatch.setattr(N, "_merge", lambda profiles, edges: rounds.append(1) or (profiles if len(rounds) < 15 else None))
+    resolve(spark, ["Octave Besvirhuzia"])
+    assert len(rounds) == 15
+
+
 def test_empty_and_pairs(spark):
     assert resolve(spark, []) == {}
     df = spark.createDataFrame([("b", "e"), ("a", "e"), ("c", "f")], "name string, entity string")
