@@ -13,35 +13,35 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
 
     Alternates large-star and small-star steps (Kiveris et al., 2014): each
     round links neighbours to the smallest node in sight, so that long chains
-    shrink exponentially. Only a count and a checksum reach the driver; the
-    edges of each round are written to the shared folder. Self loops keep
-    their node; null ends are ignored. An empty edge list gives no rows.
-    Raises if ``max_rounds`` do not suffice.
+    shrink exponentially, until every node has one link, to a node that has
+    none. Only whether that holds reaches the driver; the edges of each round
+    are written to the shared folder. Self loops keep their node; null ends
+    are ignored. An empty edge list gives no rows. Raises if ``max_rounds`` do
+    not suffice.
     """
     both = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where("a is not null and b is not null")
     nodes = both.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    cur = materialize(both.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc")
-    seen = None
-    for _ in range(max_rounds):
-        sym = cur.unionByName(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = sym.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = sym.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        low2 = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = (
-            down.join(low2, "a")
-            .select(F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("m").alias("y")), F.struct(F.col("b").alias("x"), F.col("m").alias("y")))).alias("e"))
-            .select(F.col("e.x").alias("a"), F.col("e.y").alias("b"))
-            .where("a <> b")
-            .distinct()
-        )
-        nxt = materialize(small, "cc")
-        row = nxt.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
-        release(cur)
+    cur = both.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    for k in range(max_rounds):
+        nxt = materialize(_star_round(cur), "cc")
+        if k:
+            release(cur)
         cur = nxt
-        if seen == (row.n, row.s):
+        ends = cur.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("up")), F.struct(F.col("b").alias("node"), F.lit(0).alias("up")))).alias("e")).select("e.*")
+        loose = ends.groupBy("node").agg(F.sum("up").alias("ups"), F.min("up").alias("least")).where("ups > 1 or (ups = 1 and least = 0)")
+        if not loose.limit(1).count():
             break
-        seen = (row.n, row.s)
     else:
         raise RuntimeError("connected_components: not converged")
-    return nodes.join(cur.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")), "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+    return nodes.join(cur.select(F.col("a").alias("node"), F.col("b").alias("component")), "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+
+
+def _star_round(cur: DataFrame) -> DataFrame:
+    """One large-star and one small-star step over edges ``a > b``."""
+    sym = cur.unionByName(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    low = sym.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    large = sym.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+    down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    low2 = down.groupBy("a").agg(F.min("b").alias("m"))
+    to_low = F.array(F.struct(F.col("a").alias("x"), F.col("m").alias("y")), F.struct(F.col("b").alias("x"), F.col("m").alias("y")))
+    return down.join(low2, "a").select(F.explode(to_low).alias("e")).select(F.col("e.x").alias("a"), F.col("e.y").alias("b")).where("a <> b").distinct()
