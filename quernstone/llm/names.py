@@ -1,16 +1,22 @@
 """Variant spellings of names typed by people (problem 1).
 
-Merge-and-rematch resolution: every spelling starts as a profile of its own;
-profiles that share a block and agree are merged, which unions their
-spellings and initials; the richer profiles enter blocking again, until a
-round merges nothing. Short forms (initials, nicknames) join a profile only
-where exactly one fits.
+Merge-and-rematch resolution. A profile is what is known of one entity: the
+forms of its surname, the forms of its given names with their initials and
+short forms, or the forms of each word of an organisation. Every spelling
+starts as a profile. Profiles that share a block and agree are merged, which
+unions their forms and initials; the merged ones enter blocking again with all
+they know and are compared as a whole with every profile that shares a block,
+until a round merges nothing. So a spelling with one error in the surname and
+another in the given name is reached through two spellings with one error
+each, and an initial known from one spelling keeps another apart. Short forms
+(initials, nicknames) join a profile only where exactly one fits.
 """
 
 from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import count, product
 
@@ -22,7 +28,7 @@ from pyspark.sql import functions as F
 from quernstone.llm.skeleton import folded
 from quernstone.operators.graph import connected_components
 from quernstone.operators.grouping import map_key_runs, split_hot
-from quernstone.session import materialize
+from quernstone.session import materialize, release
 
 # Titles before names, particles, legal forms and small words.
 _TITLES = set("dr pr prof professeur professor mtre maitre me m mr mrs ms mme mlle monsieur madame herr frau don dona sr sra sir".split())
@@ -49,7 +55,7 @@ _NICKNAMES = {
     "mike": "michael", "nat": "nathanael nathalie", "nico": "nicolas", "patty": "patricia", "pepe": "jose", "phil": "philippe", "raph": "raphael", "sam": "samuel", "seb": "sebastien",
     "steph": "stephanie stephane", "theo": "theophile theodore", "tom": "thomas", "toine": "antoine", "val": "valentine valerie", "vero": "veronique", "vicky": "victoria", "willi": "wilfried wilhelm",
 }
-_FULL_OF = {k: set(v.split()) for k, v in _NICKNAMES.items()}
+_FULL_OF = {k: frozenset(v.split()) for k, v in _NICKNAMES.items()}
 
 # User accounts and devices.
 _NO_ENTITY = re.compile(r"^(admin|administrator|administrateur|user|usuario|utilisateur( windows)?|windows|xerox|canon|ricoh|scanner.*|copieur.*|pao|stagiaire|owner|root|guest|invite|unknown|inconnu|anonyme|anonymous)$")
@@ -61,6 +67,9 @@ def _org_word(w: str) -> bool:
     return w in _ORG_WORDS or (len(w) >= 4 and any(len(o) >= 5 and near(w, o) for o in _ORG_WORDS))
 
 
+# --- one spelling ---------------------------------------------------------------------------
+
+
 class Parsed:
     """One spelling: ``kind`` (person, org, none), long tokens, initials."""
 
@@ -74,7 +83,6 @@ class Parsed:
 _QUOTED = re.compile(r"\s[«“„\"‘'(][^«»“”\"]{2,20}?[»”“\"’')]\s")
 
 
-@lru_cache(maxsize=200_000)
 def parse(spelling: str) -> Parsed:
     plain = re.sub(r"\s+", " ", folded(_QUOTED.sub(" ", spelling))).strip()
     if not plain or _NO_ENTITY.match(plain):
@@ -87,7 +95,7 @@ def parse(spelling: str) -> Parsed:
         tokens = tuple(w for w, full in zip(bare, words, strict=True) if w not in _SMALL and w not in drop and (len(w) > 1 or full.endswith(".")))
         return Parsed("org" if len(tokens) > 1 else "none", tokens, ())
     names = [(w, b) for w, b in zip(words, bare, strict=True) if b not in _TITLES or (w.endswith(".") and len(b) == 1)]
-    initials = tuple(b[0] for w, b in names if len(b) == 1 or (w.endswith(".") and len(b) <= 3) or re.fullmatch(r"[a-z]\.?-[a-z]", b))
+    initials = tuple(c for w, b in names if len(b) == 1 or (w.endswith(".") and len(b) <= 3) or re.fullmatch(r"[a-z]\.?-[a-z]", b) for c in (b[0], b[-1])[: 1 + ("-" in b)])
     tokens = tuple(b for w, b in names if len(b) > 1 and b not in _PARTICLES and not (w.endswith(".") and len(b) <= 3) and not re.fullmatch(r"[a-z]-[a-z]", b))
     if len(tokens) + len(initials) < 2 or len(tokens) > 4 or not tokens:
         return Parsed("none", tokens, initials)
@@ -111,13 +119,20 @@ def near(a: str, b: str) -> bool:
 
 def _joined(a: str, b: str) -> bool:
     """Surnames agree, one of them perhaps with its particle glued on."""
-    return near(a, b) or any(a == p + b or b == p + a for p in _PARTICLES)
+    if _alike(a, b):
+        return True
+    short, long = (a, b) if len(a) < len(b) else (b, a)
+    return long.endswith(short) and long[: len(long) - len(short)] in _PARTICLES
 
 
-def learn_nicknames(pairs: dict[str, set[str]]) -> None:
-    """Add short forms found beside full names in the data."""
-    for short, full in pairs.items():
-        _FULL_OF.setdefault(short, set()).update(full)
+def _alike(a: str, b: str) -> bool:
+    """One edit apart at most, but not only in a last vowel: Paul and Paula, Marie and Maria are two names."""
+    return a == b or (near(a, b) and not _other_ending(a, b))
+
+
+def _other_ending(a: str, b: str) -> bool:
+    short, long = sorted((a, b), key=len)
+    return long[-1] in "aeiou" and (long[:-1] == short or (len(long) == len(short) and long[:-1] == short[:-1] and short[-1] in "aeiou" and long != short))
 
 
 _BESIDE = re.compile(r"(\w[\w-]+) [«“„\"‘(] ?(\w{2,9}) ?[»”“\"’)] \w")
@@ -129,19 +144,6 @@ def beside(spelling: str) -> tuple[str, str] | None:
     return (folded(m[2]), folded(m[1])) if m and len(m[2]) < len(m[1]) and not m[2].isupper() else None
 
 
-def _nick(a: str, b: str) -> bool:
-    if b in _FULL_OF.get(a, ()) or a in _FULL_OF.get(b, ()) or (_FULL_OF.get(a, set()) & _FULL_OF.get(b, set())):
-        return True
-    short, long = sorted((a, b), key=len)
-    return 3 <= len(short) < len(long) and long.startswith(short)
-
-
-def _cut(a: str, b: str) -> bool:
-    """A given name cut short to four or five letters."""
-    short, long = sorted((a, b), key=len)
-    return short not in _FULL_OF and 4 <= len(short) <= 5 and len(long) - len(short) >= 3 and long.startswith(short)
-
-
 def _abbreviates(a: str, b: str) -> bool:
     short, long = sorted((a, b), key=len)
     if not 1 <= len(short) <= 8 or short[0] != long[0] or len(long) - len(short) < 2:
@@ -154,66 +156,237 @@ def _abbreviates(a: str, b: str) -> bool:
     return all(c in it for c in short)
 
 
-def _given(tokens: tuple[str, ...], surname: int) -> str:
-    return "".join(t for k, t in enumerate(tokens) if k != surname).replace("-", "")
+# --- profiles -------------------------------------------------------------------------------
 
 
-def compare(x: str, y: str) -> int:
-    """2 same entity, 1 possible (a short form on one side), 0 different."""
-    a, b = parse(x), parse(y)
-    if a.kind != b.kind or a.kind == "none":
-        return 0
-    if a.kind == "org":
-        if len(a.tokens) != len(b.tokens):
+class Profile:
+    """What is known of one entity; written as one line of text (``card``).
+
+    Persons: ``readings``, each the forms of the surname and those of the given
+    names. A spelling does not tell which of its words is the surname, so it
+    has a reading for each; merging keeps the readings that agree. A given name
+    is its words, then ``/`` and further initials: ``octave``, ``octave/b``,
+    ``/ob``. ``alias`` are full names of short forms learned from the data.
+    Organisations: ``slots``, the forms of each word.
+    """
+
+    __slots__ = ("card", "kind", "readings", "alias", "slots", "known")
+
+    def __init__(self, card: str):
+        self.card = card
+        self.kind, *parts = card.split("\t")
+        self.readings: list[tuple[frozenset[str], frozenset[str]]] = []
+        self.slots: list[frozenset[str]] = []
+        self.alias: dict[str, frozenset[str]] = {}
+        if self.kind == "p":
+            for pair in filter(None, parts[0].split(",")):
+                k, v = pair.split(">")
+                self.alias[k] = self.alias.get(k, frozenset()) | {v}
+            for r in parts[1:]:
+                s, g = r.split("|")
+                self.readings.append((frozenset(s.split(",")), frozenset(g.split(","))))
+        else:
+            self.slots = [frozenset(x.split(",")) for x in parts]
+        self.known = [_Given(g, self) for _, g in self.readings]
+
+    def full_of(self, w: str) -> frozenset[str]:
+        return _FULL_OF.get(w, frozenset()) | self.alias.get(w, frozenset())
+
+
+class _Given:
+    """Forms of given names of one reading, taken apart once."""
+
+    __slots__ = ("full", "words", "marks", "seqs", "more")
+
+    def __init__(self, forms: Iterable[str], profile: Profile):
+        split = [g.split("/") for g in sorted(forms)]
+        named = [(w.split(), i) for w, i in split if w]
+        #: full forms without blanks; initials alone count only where no full form is known
+        self.full = sorted({"".join(ws) for ws, _ in named})
+        self.words = sorted({w for ws, _ in named for w in ws})
+        self.marks = {w: {w[0], *(f[0] for f in profile.full_of(w))} for w in self.words}
+        seqs = {"".join(w[0] for w in ws) + i for ws, i in named} if named else {i for _, i in split}
+        self.seqs = sorted(seqs)
+        #: initials after the first that are known
+        self.more = sorted({i if w else i[1:] for w, i in split} - {""})
+
+
+def _write_person(alias: dict[str, frozenset[str]], readings: Iterable[tuple[frozenset[str], frozenset[str]]]) -> str:
+    pairs = ",".join(sorted(f"{k}>{v}" for k, vs in alias.items() for v in vs))
+    return "\t".join(["p", pairs, *sorted({",".join(sorted(s)) + "|" + ",".join(sorted(g)) for s, g in readings})])
+
+
+def _write_org(slots: Iterable[frozenset[str]]) -> str:
+    return "\t".join(["o", *sorted(",".join(sorted(s)) for s in slots)])
+
+
+@lru_cache(maxsize=100_000)
+def profile(card: str) -> Profile:
+    return Profile(card)
+
+
+def card_of(spelling: str, alias: dict[str, frozenset[str]] | None = None) -> str | None:
+    """The profile of a single spelling; None if it denotes no entity or could be any."""
+    p = parse(spelling)
+    if p.kind == "none":
+        return None
+    if p.kind == "org":
+        return _write_org(frozenset([t]) for t in p.tokens) if any(len(t) >= 5 and not _org_word(t) for t in p.tokens) else None
+    more = "".join(p.initials)
+    readings = []
+    for i, t in enumerate(p.tokens):
+        given = " ".join(u.replace("-", " ") for k, u in enumerate(p.tokens) if k != i)
+        readings.append((frozenset([t]), frozenset([f"{given}/{more}"])))
+    known = {t: alias[t] for t in p.tokens if alias and t in alias}
+    return _write_person(known, readings)
+
+
+def _apart(x: _Given, y: _Given) -> bool:
+    """Initials after the first that are known on both sides and differ."""
+    return any(c != d for a in x.more for b in y.more for c, d in zip(a, b, strict=False))
+
+
+def _given_match(x: _Given, y: _Given, p: Profile, q: Profile) -> int:
+    """2 same given names, 1 possible (a short form, or initials that one side lacks), 0 different."""
+    if not x.full and not y.full:
+        if not any(a[0] == b[0] for a in x.seqs for b in y.seqs) or _apart(x, y):
             return 0
-        mine, left = sorted(a.tokens, key=len, reverse=True), list(b.tokens)
-        proper = 0
-        # the surest agreement first, else an abbreviation may take another word's partner
-        for agree in (str.__eq__, near, _abbreviates):
-            for t in list(mine):
-                hit = next((u for u in left if agree(t, u)), None)
-                if hit is None:
-                    continue
-                proper += agree is not _abbreviates and not _org_word(t) and len(t) >= 5
-                mine.remove(t)
-                left.remove(hit)
-        if mine:
+        return 2 if bool(x.more) == bool(y.more) else 1
+    if x.full and y.full:
+        if _apart(x, y):
             return 0
-        return 2 if proper else 0
-    if len(a.tokens) > 1 and len(b.tokens) > 1:
         best = 0
-        for i, s in enumerate(a.tokens):
-            for j, t in enumerate(b.tokens):
-                if not _joined(s, t):
-                    continue
-                # what is not the surname is the given name, however it is put together
-                u, v = _given(a.tokens, i), _given(b.tokens, j)
-                if near(u, v) or _cut(u, v):
-                    return 2
-                if _nick(u, v):
-                    best = 1
+        for u in x.full:
+            for v in y.full:
+                if _alike(u, v) or _cut(u, v, p, q):
+                    return 2 if bool(x.more) == bool(y.more) else 1
+                best = best or int(_nick(u, v, p, q))
         return best
-    if len(a.tokens) == 1 and len(b.tokens) == 1:
-        return 2 if _joined(a.tokens[0], b.tokens[0]) and a.initials[0] == b.initials[0] else 0
-    one, more = (a, b) if len(a.tokens) == 1 else (b, a)
-    first = one.initials[0]
-    for i, t in enumerate(more.tokens):
-        if _joined(one.tokens[0], t):
-            rest = [u for k, u in enumerate(more.tokens) if k != i]
-            if any(u[0] == first or any(f[0] == first for f in _FULL_OF.get(u, ())) for u in rest):
-                return 1
+    short, long = (y, x) if x.full else (x, y)
+    for i in short.seqs:
+        for w, marks in long.marks.items():
+            if i[0] in marks:
+                after = [s[s.index(w[0]) :] for s in long.seqs if w[0] in s]
+                if not any(a[k] != i[k] for a in after for k in range(1, min(len(a), len(i)))):
+                    return 1
     return 0
 
 
-def fullness(spelling: str) -> int:
-    """0 initials only, 1 a nickname, 2 full names."""
-    p = parse(spelling)
-    if p.kind == "person":
-        if len(p.tokens) == 1:
-            return 0
-        if any(t in _FULL_OF or len(t) == 3 for t in p.tokens):
-            return 1
-    return 2
+def _nick(a: str, b: str, p: Profile, q: Profile) -> bool:
+    fa, fb = p.full_of(a) | q.full_of(a), p.full_of(b) | q.full_of(b)
+    if b in fa or a in fb or fa & fb:
+        return True
+    short, long = sorted((a, b), key=len)
+    return 3 <= len(short) < len(long) and long.startswith(short) and not _other_ending(a, b)
+
+
+def _cut(a: str, b: str, p: Profile, q: Profile) -> bool:
+    """A given name cut short to four or five letters."""
+    short, long = sorted((a, b), key=len)
+    return 4 <= len(short) <= 5 and len(long) - len(short) >= 3 and long.startswith(short) and not (p.full_of(short) | q.full_of(short))
+
+
+def _slot_map(a: Profile, b: Profile) -> list[tuple[int, int]] | None:
+    """Which words of two organisations stand for each other; None if they are different ones."""
+    if len(a.slots) != len(b.slots):
+        return None
+    mine = sorted(range(len(a.slots)), key=lambda i: -max(map(len, a.slots[i])))
+    left = list(range(len(b.slots)))
+    pairs, proper = [], 0
+    # the surest agreement first, else an abbreviation may take another word's partner
+    for agree in (str.__eq__, near, _abbreviates):
+        for i in list(mine):
+            hit = next((j for j in left if any(agree(t, u) for t in a.slots[i] for u in b.slots[j])), None)
+            if hit is None:
+                continue
+            proper += agree is not _abbreviates and any(not _org_word(t) and len(t) >= 5 for t in a.slots[i])
+            mine.remove(i)
+            left.remove(hit)
+            pairs.append((i, hit))
+    return pairs if not mine and proper else None
+
+
+def compare_profiles(p: Profile, q: Profile) -> int:
+    """2 same entity, 1 possible (a short form on one side), 0 different."""
+    if p.kind != q.kind:
+        return 0
+    if p.kind == "o":
+        return 2 if _slot_map(p, q) else 0
+    best = 0
+    for (s, _), x in zip(p.readings, p.known, strict=True):
+        for (t, _), y in zip(q.readings, q.known, strict=True):
+            if any(_joined(a, b) for a in s for b in t):
+                best = max(best, _given_match(x, y, p, q))
+                if best == 2:
+                    return 2
+    return best
+
+
+def compare(x: str, y: str) -> int:
+    """:func:`compare_profiles` of two spellings."""
+    a, b = card_of(x), card_of(y)
+    return compare_profiles(profile(a), profile(b)) if a and b else 0
+
+
+def merge_cards(cards: list[str]) -> str:
+    """One profile out of those of one entity: forms, initials and short forms united.
+
+    Each is laid over what is merged already in the readings that agree; one
+    that fits no reading yet waits for the others. ``cards`` are the different
+    profiles of one entity, not its rows.
+    """
+    first, *rest = sorted(set(cards), key=lambda c: (len(c), c))
+    whole = profile(first)
+    waiting = [profile(c) for c in rest]
+    while waiting:
+        held = []
+        for q in waiting:
+            merged = _unite(whole, q)
+            if merged is None:
+                held.append(q)
+            else:
+                whole = merged
+        if len(held) == len(waiting):
+            # joined through short forms that others explain: all readings stay
+            for q in held:
+                whole = _unite(whole, q, force=True) or whole
+            break
+        waiting = held
+    return whole.card
+
+
+def _unite(p: Profile, q: Profile, force: bool = False) -> Profile | None:
+    if p.kind == "o":
+        at = _slot_map(p, q)
+        if at is None:
+            return None
+        return Profile(_write_org(p.slots[i] | q.slots[j] for i, j in at))
+    alias = {k: p.alias.get(k, frozenset()) | q.alias.get(k, frozenset()) for k in {*p.alias, *q.alias}}
+    found: dict[int, list] = {0: [], 1: [], 2: []}
+    for (s, g), x in zip(p.readings, p.known, strict=True):
+        for (t, h), y in zip(q.readings, q.known, strict=True):
+            if any(_joined(a, b) for a in s for b in t):
+                found[_given_match(x, y, p, q)].append((s | t, g | h))
+    united = found[2] or found[1] or (p.readings + q.readings if force else [])
+    return Profile(_write_person(alias, united)) if united else None
+
+
+def fullness(card: str) -> int:
+    """0 one initial, 1 several, 2 a nickname, 3 full names, 4 full names and initials."""
+    p = profile(card)
+    if p.kind == "o":
+        return 4
+    full = [x for x in p.known if x.full]
+    if not full:
+        return int(any(x.more for x in p.known))
+    # a spelling does not tell which of its words is the given name
+    named = [x for x in full if not all(p.full_of(w) or len(w) == 3 for w in x.words)]
+    if len(named) < len(full):
+        return 2
+    return 3 + int(any(x.more for x in full))
+
+
+# --- blocks ---------------------------------------------------------------------------------
 
 
 def _deletions(t: str) -> set[str]:
@@ -225,197 +398,241 @@ def _forms(t: str) -> set[str]:
     return _deletions(t) | {t[len(p) :] for p in _PARTICLES if t.startswith(p) and len(t) - len(p) > 1}
 
 
-def hot_forms(common: frozenset[str]) -> frozenset[str]:
-    """Forms that stand for a common token and so need a second part as key."""
-    return frozenset(d for t in common for d in _forms(t))
-
+def _given_keys(x: _Given, p: Profile) -> set[str]:
+    """Given names that agree share one: an edit leaves the first two letters or what follows them.
 
-def _given_keys(u: str) -> set[str]:
-    """Given names that agree share one: an edit leaves the first two letters or what follows them."""
-    return {u[:2], f"~{u[2:]}", f"~{u[3:]}"} | {f[:2] for f in _FULL_OF.get(u, ())}
+    Keys that end in a dot are initials: they are for pairs with a name of which
+    only initials are known.
+    """
+    keys = {k for u in x.full for k in (u[:2], f"~{u[2:]}", f"~{u[3:]}", *(f[:2] for f in p.full_of(u)))}
+    letters = {c for marks in x.marks.values() for c in marks} or {s[0] for s in x.seqs}
+    return keys | {f"{c}." for c in letters}
 
 
-def _org_keys(others: list[str], most: int = 4) -> set[str]:
+def _org_keys(others: list[frozenset[str]], most: int = 4) -> set[str]:
     """Words that agree one by one share a letter of their first two; more than ``most`` words give one key a letter."""
-    letters = [sorted(set(u[:2])) for u in others]
+    letters = [sorted({c for u in forms for c in u[:2]}) for forms in others]
     if len(others) > most:
         return {f"{len(others)} {c}" for cs in letters for c in cs}
     return {f"{len(others)} {''.join(sorted(cs))}" for cs in product(*letters)}
 
 
-def block_keys(spelling: str, hot: frozenset[str]) -> set[tuple[str, bool]]:
-    """``(block, short)`` of a spelling; any two that ``compare`` accepts share one.
+def block_keys(p: Profile) -> dict[str, set[str]]:
+    """Blocks of a profile, each with the second parts it gets if the block is crowded.
 
-    Each token may be the one that agrees (the surname), so each gives its
-    forms. A form that is ``hot`` gives no block of its own but one with each
-    key of what stands beside it. Whether a form is hot does not depend on
-    the spelling, so both sides decide alike. ``short`` blocks are for
-    initials: only pairs with a name of one token need comparing there.
+    Any two profiles that ``compare_profiles`` accepts share a block and, in it,
+    a second part. Whether a block is crowded depends on the block alone, so
+    both sides decide alike.
+    """
+    keys: dict[str, set[str]] = defaultdict(set)
+    if p.kind == "o":
+        for i, forms in enumerate(p.slots):
+            second = _org_keys([o for k, o in enumerate(p.slots) if k != i])
+            for t in forms:
+                # words count from four letters on, and not if listed
+                if len(t) >= 4 and (len(t) == 4 or t not in _ORG_WORDS):
+                    for d in _deletions(t):
+                        keys[f"o {d}"] |= second
+        return keys
+    for (surnames, _), x in zip(p.readings, p.known, strict=True):
+        second = _given_keys(x, p)
+        for t in surnames:
+            for d in _forms(t):
+                keys[f"p {d}"] |= second
+    return keys
+
+
+# --- the table ------------------------------------------------------------------------------
+
+
+def _short_forms(pool: DataFrame, least: int = 2) -> DataFrame:
+    """``short, full``: short forms written beside full names in ``least`` different spellings or more.
+
+    A pair seen once may be a pen name.
     """
-    p = parse(spelling)
-    if p.kind == "none":
-        return set()
-    keys: set[tuple[str, bool]] = set()
-    for i, t in enumerate(p.tokens):
-        # words of organisations count from five letters on, and not if listed
-        if p.kind == "org" and (len(t) < 4 or (len(t) > 4 and t in _ORG_WORDS)):
-            continue
-        forms = _forms(t) if p.kind == "person" else _deletions(t)
-        keys |= {(d, False) for d in forms - hot}
-        if not (at := forms & hot):
-            continue
-        others = [u for k, u in enumerate(p.tokens) if k != i]
-        if p.kind == "org":
-            beside = {(k, False) for k in _org_keys(others)}
-        elif others:
-            beside = {(k, False) for k in _given_keys(_given(p.tokens, i))}
-            beside |= {(f"{c}.", True) for u in others for c in {u[0], *(f[0] for f in _FULL_OF.get(u, ()))}}
-        else:
-            beside = {(f"{p.initials[0]}.", True)}
-        keys |= {(f"{d} {k}", short) for d in at for k, short in beside}
-    return {(f"{p.kind} {k}", short) for k, short in keys}
-
-
-def _common_tokens(names: DataFrame, share: float, floor: int) -> frozenset[str]:
-    """Tokens in more than ``share`` of all spellings (at most 5 / share of them)."""
 
-    def tokens(batches):
+    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"t": [t for s in pdf["name"] for t in set(parse(s).tokens)]})
+            yield pd.DataFrame([b for s in pdf["name"] if (b := beside(s))], columns=["short", "full"])
 
-    n = names.count()
-    counts = names.mapInPandas(tokens, "t string").groupBy("t").agg(F.count(F.lit(1)).alias("n"))
-    return frozenset(r["t"] for r in counts.where(F.col("n") > max(floor, share * n)).select("t").collect())
+    counts = pool.mapInPandas(pairs, "short string, full string").groupBy("short", "full").agg(F.count(F.lit(1)).alias("c"))
+    return counts.where(F.col("c") >= least).select("short", "full")
 
 
-def _short_forms(names: DataFrame, name: str, least: int = 2, most: int = 2000) -> dict[str, set[str]]:
-    """Short forms written beside full names, with their full names.
+def _first_profiles(pool: DataFrame) -> DataFrame:
+    """``name, card``: the profile of each spelling that denotes an entity, with the short forms it may stand for."""
 
-    The ``most`` frequent pairs that stand in ``least`` different spellings; a
-    pair seen once may be a pen name.
-    """
+    def tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"name": pdf["name"], "ts": [list(q.tokens) if (q := parse(s)).kind == "person" and len(q.tokens) > 1 else [] for s in pdf["name"]]})
+
+    learned = _short_forms(pool)
+    ts = pool.mapInPandas(tokens, "name string, ts array<string>")
+    hit = ts.select("name", F.explode("ts").alias("short")).join(learned, "short").groupBy("name").agg(F.collect_set(F.concat("short", F.lit(">"), "full")).alias("alias"))
 
-    def pairs(batches):
+    def cards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = [(s, *b) for s in pdf["n"] if (b := beside(s))]
-            yield pd.DataFrame(found, columns=["n", "short", "full"])
+            out = []
+            for s, al in zip(pdf["name"], pdf["alias"], strict=True):
+                known: dict[str, frozenset[str]] = {}
+                for pair in al if al is not None else ():
+                    k, v = pair.split(">")
+                    known[k] = known.get(k, frozenset()) | {v}
+                out.append(card_of(s, known))
+            yield pd.DataFrame({"name": pdf["name"], "card": out})
 
-    text = names.select(F.col(name).cast("string").alias("n")).where("n is not null").distinct()
-    counts = text.mapInPandas(pairs, "n string, short string, full string").groupBy("short", "full").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= least)
-    out: dict[str, set[str]] = defaultdict(set)
-    for r in counts.orderBy(F.desc("c"), "short", "full").limit(most).collect():
-        out[r["short"]].add(r["full"])
-    return dict(out)
+    return pool.join(hit, "name", "left").mapInPandas(cards, "name string, card string").where("card is not null")
 
 
-def _edges(profiles: DataFrame, common: frozenset[str], limit: int, known: dict[str, set[str]]) -> DataFrame:
-    """``a, b, strength, full_a, full_b`` between profiles that share a block and agree."""
+def _edges(profiles: DataFrame, crowd: int, limit: int) -> DataFrame:
+    """``a, b, strength`` between profiles that share a block and agree; one of them changed in the round before."""
 
-    def emit(batches):
-        learn_nicknames(known)
-        hot = hot_forms(common)
+    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = [(k, short, s, c) for s, c in zip(pdf["name"], pdf["profile"], strict=True) for k, short in block_keys(s, hot)]
-            yield pd.DataFrame(rows, columns=["key", "short", "name", "profile"])
-
-    keyed = profiles.mapInPandas(emit, "key string, short boolean, name string, profile string").withColumn("key", F.xxhash64("key"))
-    tiles = split_hot(keyed, "key", "name", limit).select("tile", "side", "short", "name", "profile")
+            rows = [(k, sorted(second), i, c, ch) for i, c, ch in zip(pdf["pid"], pdf["card"], pdf["changed"], strict=True) for k, second in block_keys(profile(c)).items()]
+            yield pd.DataFrame(rows, columns=["block", "second", "pid", "card", "changed"])
+
+    keyed = profiles.mapInPandas(emit, "block string, second array<string>, pid string, card string, changed boolean")
+    keyed = materialize(keyed.withColumn("block", F.xxhash64("block")), "names")
+    sizes = keyed.groupBy("block").agg(F.count(F.lit(1)).alias("n"), F.max("changed").alias("any")).where("n > 1 and any").select("block", "n")
+    rows = keyed.join(sizes, "block")
+    few = rows.where(F.col("n") <= crowd).select(F.col("block").alias("tile"), F.lit(0).alias("side"), F.lit(False).alias("short"), "pid", "card", "changed")
+    many = rows.where(F.col("n") > crowd).select("block", F.explode("second").alias("part"), "pid", "card", "changed")
+    many = many.select(F.xxhash64("block", "part").alias("key"), F.endswith("part", F.lit(".")).alias("short"), "pid", "card", "changed")
+    tiles = few.unionByName(split_hot(many, "key", "pid", limit).select("tile", "side", "short", "pid", "card", "changed"))
 
     def match(pdf: pd.DataFrame, bounds: np.ndarray) -> pd.DataFrame:
-        learn_nicknames(known)
-        out: dict[tuple[str, str], int] = {}
         done: set[tuple[str, str]] = set()
-        name, prof, side, short = pdf["name"].tolist(), pdf["profile"].tolist(), pdf["side"].tolist(), pdf["short"].tolist()
-        sizes = np.diff(bounds)
-        for g in np.flatnonzero(sizes > 1):
+        out: list[tuple[str, str, int]] = []
+        pid, side, short, changed = pdf["pid"].tolist(), pdf["side"].tolist(), pdf["short"].tolist(), pdf["changed"].tolist()
+        known = [profile(c) for c in pdf["card"]]
+        for g in np.flatnonzero(np.diff(bounds) > 1):
             lo, hi = int(bounds[g]), int(bounds[g + 1])
             cross = any(side[lo:hi])
-            by: dict[str, list[int]] = defaultdict(list)
-            for i in range(lo, hi):
-                by[prof[i]].append(i)
-            if len(by) < 2:
-                continue
             rows, first = list(range(lo, hi)), hi - lo
             if short[lo]:
-                rows.sort(key=lambda i: len(parse(name[i]).tokens))
-                first = sum(len(parse(name[i]).tokens) == 1 for i in rows)
+                # only pairs with initials alone on one side
+                rows.sort(key=lambda i: all(x.full for x in known[i].known))
+                first = sum(not all(x.full for x in known[i].known) for i in rows)
             for k, i in enumerate(rows[:first], 1):
                 for j in rows[k:]:
-                    if prof[i] == prof[j] or (cross and side[i] == side[j]):
+                    if pid[i] == pid[j] or (cross and side[i] == side[j]) or not (changed[i] or changed[j]):
                         continue
-                    pair = (name[i], name[j]) if name[i] < name[j] else (name[j], name[i])
+                    pair = (pid[i], pid[j]) if pid[i] < pid[j] else (pid[j], pid[i])
                     if pair in done:
                         continue
                     done.add(pair)
-                    s = compare(*pair)
-                    if s:
-                        ab = (prof[i], prof[j]) if prof[i] < prof[j] else (prof[j], prof[i])
-                        out[ab] = max(out.get(ab, 0), s)
-        return pd.DataFrame([(a, b, s) for (a, b), s in out.items()], columns=["a", "b", "strength"])
+                    if s := compare_profiles(known[i], known[j]):
+                        out.append((*pair, s))
+        return pd.DataFrame(out, columns=["a", "b", "strength"])
 
-    return map_key_runs(tiles, "tile", match, "a string, b string, strength int").groupBy("a", "b").agg(F.max("strength").alias("strength"))
+    return map_key_runs(tiles, "tile", match, "a string, b string, strength int").distinct()
 
 
-def resolve_names(names: DataFrame, name: str = "name", limit: int = 2000, common_share: float = 0.001, common_floor: int = 60, max_rounds: int | None = None) -> DataFrame:
+def resolve_names(names: DataFrame, name: str = "name", limit: int = 2000, crowd: int = 100, max_rounds: int | None = None) -> DataFrame:
     """``name, entity``: every distinct spelling with the entity it denotes.
 
     ``entity`` is the smallest spelling of the merged profile. Null and blank
     strings are left out, repeated rows count once; devices, accounts and
-    single words stay alone. Blocks of more than ``limit`` rows are compared
-    in tiles, none is cut off. Rounds go on until one merges nothing, each
-    leaving fewer profiles; raises if ``max_rounds`` are given and do not suffice.
+    single words stay alone. Blocks of more than ``crowd`` profiles are divided
+    by what stands beside the surname, parts of more than ``limit`` rows are
+    compared in tiles; none is cut off. From the second round on only profiles
+    that changed are compared (with all). Rounds go on until one merges
+    nothing, each leaving fewer profiles; raises if ``max_rounds`` are given
+    and do not suffice. Nothing is kept between calls.
     """
-
-    def full(batches):
-        learn_nicknames(known)
-        for pdf in batches:
-            yield pdf.assign(full=[fullness(s) for s in pdf["name"]])
-
-    known = dict(_short_forms(names, name))
-    pool = names.select(F.col(name).cast("string").alias("name")).where("name is not null and trim(name) <> ''").distinct()
-    pool = materialize(pool.mapInPandas(full, "name string, full int"), "names")
-    common = _common_tokens(pool, common_share, common_floor)
-    profiles = materialize(pool.select("name", F.col("name").alias("profile"), "full"), "names")
-    for _ in count() if max_rounds is None else range(max_rounds):
-        edges = materialize(_edges(profiles, common, limit, known), "names")
-        merged = _merge(profiles, edges)
-        if merged is None:
+    pool = materialize(names.select(F.col(name).cast("string").alias("name")).where("name is not null and trim(name) <> ''").distinct(), "names")
+    owners = materialize(_first_profiles(pool), "names")
+    # equal profiles are one: case, order, blanks, titles and punctuation are gone
+    members = owners.groupBy("card").agg(F.min("name").alias("pid"))
+    owner = owners.join(members, "card").select("name", "pid")
+    profiles = materialize(members.select("pid", "card", F.lit(True).alias("changed")), "names")
+    maybe = None
+    for rounds in count() if max_rounds is None else range(max_rounds):
+        edges = _edges(profiles, crowd, limit)
+        if maybe is not None:
+            edges = edges.unionByName(maybe).distinct()
+        edges = materialize(edges, "names")
+        moved = _merge(profiles, edges)
+        if moved is None:
             break
-        profiles = merged
+        owner = owner.join(moved, "pid", "left").select("name", F.coalesce("root", "pid").alias("pid"))
+        if rounds % 4 == 3:
+            owner = materialize(owner, "names")
+        profiles, maybe = _merged_profiles(profiles, moved), _still_open(edges, moved)
     else:
         raise RuntimeError("resolve_names: not converged")
-    return profiles.select("name", F.col("profile").alias("entity"))
+    entity = owner.groupBy("pid").agg(F.min("name").alias("entity"))
+    named = owner.join(entity, "pid").select("name", "entity")
+    return pool.join(named, "name", "left").select("name", F.coalesce("entity", "name").alias("entity"))
 
 
 def _merge(profiles: DataFrame, edges: DataFrame) -> DataFrame | None:
-    """Profiles after this round's merges; None if there are none.
+    """``pid, root`` of every profile merged in this round (roots too); None if there are none.
 
-    Sure edges merge at once. A short form (its profile holds initials or
-    nicknames only) then joins the one fuller profile it may belong to; with
-    two or more candidates it waits for a later round.
+    Sure edges merge at once. A short form then joins the one fuller profile it
+    may belong to; with two or more candidates it waits for a later round.
     """
-    sure = edges.where("strength = 2")
-    some = sure.limit(1).count() > 0
-    if some:
-        comp = connected_components(sure, "a", "b").select(F.col("node").alias("profile"), "component")
-        now = profiles.join(comp, "profile", "left").select("name", F.coalesce("component", "profile").alias("profile"), "full")
-        now = materialize(now, "names")
-    else:
-        now = profiles
-    maybe = edges.where("strength = 1")
-    if maybe.limit(1).count() > 0:
-        level = now.groupBy("profile").agg(F.max("full").alias("level"))
-        at = profiles.select("name", F.col("profile").alias("old")).join(now.select("name", F.col("profile").alias("new")), "name").select("old", "new").distinct()
-        m = maybe.join(at.select(F.col("old").alias("a"), F.col("new").alias("pa")), "a").join(at.select(F.col("old").alias("b"), F.col("new").alias("pb")), "b")
-        both = m.select("pa", "pb").unionByName(m.select(F.col("pb").alias("pa"), F.col("pa").alias("pb"))).where("pa <> pb").distinct()
-        both = both.join(level.select(F.col("profile").alias("pa"), F.col("level").alias("la")), "pa").join(level.select(F.col("profile").alias("pb"), F.col("level").alias("lb")), "pb")
-        one = both.where("la < lb").groupBy("pa").agg(F.count(F.lit(1)).alias("n"), F.min("pb").alias("pb")).where("n = 1").select("pa", "pb")
-        one = materialize(one, "names")
-        if one.limit(1).count() > 0:
-            comp = connected_components(one, "pa", "pb").select(F.col("node").alias("profile"), "component")
-            now = materialize(now.join(comp, "profile", "left").select("name", F.coalesce("component", "profile").alias("profile"), "full"), "names")
-            some = True
-    return now if some else None
+    seen = {r["strength"]: r["n"] for r in edges.groupBy("strength").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not seen:
+        return None
+    comp = connected_components(edges.where("strength = 2"), "a", "b").select(F.col("node").alias("pid"), F.col("component").alias("root"))
+    if 2 in seen:
+        comp = materialize(comp, "names")
+    if 1 not in seen:
+        return comp
+    at = lambda x, to: comp.select(F.col("pid").alias(x), F.col("root").alias(to))
+    m = edges.where("strength = 1").join(at("a", "ra"), "a", "left").join(at("b", "rb"), "b", "left").select(F.coalesce("ra", "a").alias("pa"), F.coalesce("rb", "b").alias("pb"))
+    both = m.unionByName(m.select(F.col("pb").alias("pa"), F.col("pa").alias("pb"))).where("pa <> pb").distinct()
+    level = _levels(profiles).join(comp, "pid", "left").groupBy(F.coalesce("root", "pid").alias("p"))
+    level = level.agg(F.max("level").alias("level"), F.array_distinct(F.flatten(F.collect_set("letters"))).alias("letters"))
+    both = both.join(level.select(F.col("p").alias("pa"), F.col("level").alias("la"), "letters"), "pa").join(level.select(F.col("p").alias("pb"), F.col("level").alias("lb")), "pb")
+    one = both.where("la < lb").groupBy("pa").agg(F.count(F.lit(1)).alias("n"), F.min("pb").alias("pb"), F.first("letters").alias("letters")).where("n = 1")
+    one = materialize(one.select("pa", "pb", "letters"), "names")
+    # two that differ in their further initials cannot both belong to one: they wait
+    torn = one.select("pb", F.explode("letters").alias("c")).groupBy("pb").agg(F.countDistinct("c").alias("cs")).where("cs > 1").select("pb")
+    torn = one.where(F.size("letters") > 0).join(torn, "pb", "left_semi").select("pa")
+    # nor is it known what belongs to a profile that is itself about to join another
+    one = one.join(torn, "pa", "left_anti").select("pa", "pb")
+    one = materialize(one.join(one.select(F.col("pa").alias("pb")), "pb", "left_anti"), "names")
+    if not one.limit(1).count():
+        return comp if 2 in seen else None
+    ends = one.select(F.explode(F.array("pa", "pb")).alias("pid")).distinct()
+    moved = comp.select("pid").unionByName(ends).distinct().join(comp, "pid", "left").select("pid", F.coalesce("root", "pid").alias("r1"))
+    moved = moved.join(one.select(F.col("pa").alias("r1"), F.col("pb").alias("r2")), "r1", "left")
+    return materialize(moved.select("pid", F.coalesce("r2", "r1").alias("root")), "names")
+
+
+def _levels(profiles: DataFrame) -> DataFrame:
+    """``pid, level, letters``: fullness, and the first of the further initials."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            letters = [sorted({m[0] for x in p.known for m in x.more}) for p in map(profile, pdf["card"])]
+            yield pd.DataFrame({"pid": pdf["pid"], "level": [fullness(c) for c in pdf["card"]], "letters": letters})
+
+    return profiles.select("pid", "card").mapInPandas(run, "pid string, level int, letters array<string>")
+
+
+def _merged_profiles(profiles: DataFrame, moved: DataFrame) -> DataFrame:
+    """Profiles after a round: those merged are united and marked as changed."""
+
+    def unite(pdf: pd.DataFrame, bounds: np.ndarray) -> pd.DataFrame:
+        root, card = pdf["root"].to_numpy(), pdf["card"].to_numpy()
+        return pd.DataFrame({"pid": root[bounds[:-1]], "card": [merge_cards(list(card[a:b])) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]})
+
+    groups = profiles.join(moved, "pid").select("root", "card")
+    new = map_key_runs(groups, "root", unite, "pid string, card string").withColumn("changed", F.lit(True))
+    old = profiles.join(moved, "pid", "left_anti").select("pid", "card", F.lit(False).alias("changed"))
+    out = materialize(new.unionByName(old), "names")
+    release(profiles)
+    return out
+
+
+def _still_open(edges: DataFrame, moved: DataFrame) -> DataFrame:
+    """Possible links between profiles that did not change; the others are found anew."""
+    gone = moved.select("pid")
+    return edges.where("strength = 1").join(gone.withColumnRenamed("pid", "a"), "a", "left_anti").join(gone.withColumnRenamed("pid", "b"), "b", "left_anti").select("a", "b", "strength")
 
 
 def spelling_pairs(entities: DataFrame) -> DataFrame:
