@@ -19,22 +19,16 @@ from pyspark.sql import functions as F
 
 from quernstone.llm.linear import Bags, fit, hashed
 from quernstone.llm.skeleton import folded
+from quernstone.session import materialize
 
 BITS = 17
 
-#: Shares of positive and of negative labels taken to be wrong; ridge penalty.
+#: Shares of positive and of negative labels taken to be wrong.
 WRONG_POSITIVE, MISSED = 0.1, 0.004
 
-#: Trust in the fixed list of stems and in stars inside words, against any single word.
-KNOWN_GAIN = 4.0
+#: Ridge penalty.
 L2 = 3e-5
 
-# Stems of insults and of sexually explicit words (accents removed), as one feature each.
-_STEMS = re.compile(
-    r"^(abruti|cretin|connard|connasse|enfoire|ordure|pourriture|bouffon|salaud|salope|encule|imbecil|idiot|moron|scum|loser|asshole|bastard|bitch|cunt|fuck|wanker|shit|gilipollas|cabron|payaso|capullo|mierda|merda"
-    r"|hijoputa|idiota|palhac|cabra[eo]|otari|trottel|vollpfosten|dreckskerl|arschloch|wichser|verpiss|verreck|scheiss|porn|nud[ei]s|bais(er|e|ent|erent)$|foder|follar|ficken|sexchat|nacktbild|webcam|lechait|seins$|tetas|geil|canalh|nojent|malnacid|penner$|mistkerl|raclure|debile|foutre$|wank|hardcore|horny|xxx)"
-)
-
 _LEET = str.maketrans("01345780@$|", "oieastbo" + "asl")
 _SPACED = re.compile(r"\b[a-z](?:[ .\-_][a-z]){2,}\b")
 _REPEAT = re.compile(r"([a-z])\1{2,}")
@@ -82,13 +76,16 @@ def tokens_of(text: str) -> list[list[str]]:
 
 
 def word_features(w: str) -> list[int]:
+    """The word, its beginnings of four to six letters and its ending, so that inflected forms share weights; masked spelling."""
     out = [hashed(f"u {w}", BITS)]
+    if len(w) >= 4:
+        out.append(hashed(f"p {w[:4]}", BITS))
     if len(w) > 5:
         out.append(hashed(f"c {w[:5]}", BITS))
+    if len(w) > 6:
+        out += [hashed(f"q {w[:6]}", BITS), hashed(f"e {w[-4:]}", BITS)]
     if "#" in w:
         out.append(hashed("masked", BITS))
-    if _STEMS.match(w):
-        out.append(hashed("stem", BITS))
     return out
 
 
@@ -140,19 +137,25 @@ class AbuseModel:
         return -math.expm1(-q), 1.0 / (1.0 + math.exp(-max(top, -60.0))), at, n
 
 
-def train_abuse(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", max_positive: int = 4000, max_negative: int = 3000, rounds: int = 120) -> AbuseModel:
+def train_abuse(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", max_positive: int = 4000, max_negative: int = 3000, max_chars: int = 60_000_000, rounds: int = 120) -> AbuseModel:
     """Model from at most ``max_positive`` and ``max_negative`` reviewed documents.
 
     Several reviews of a document vote; ties are left out. The sample is the
-    documents with the smallest hashes of their key. Without labels of both
-    kinds every document scores 0.
+    documents with the smallest hashes of their key, as many as have
+    ``max_chars`` characters together. Without labels of both kinds every
+    document scores 0.
     """
     votes = labels.where(f"{key} is not null and toxic is not null").groupBy(key).agg(F.avg(F.col("toxic").cast("double")).alias("y")).where("y <> 0.5")
     order = [F.xxhash64(key), F.col(key)]
     pos = votes.where("y > 0.5").orderBy(*order).limit(max_positive)
     neg = votes.where("y < 0.5").orderBy(*order).limit(max_negative)
     chosen = pos.unionByName(neg)  # at most max_positive + max_negative rows
-    rows = docs.select(key, text).where(F.col(text).isNotNull()).join(F.broadcast(chosen), key).select(key, text, "y").dropDuplicates([key]).toPandas().sort_values(key)
+    found = docs.select(key, text).where(F.col(text).isNotNull()).join(F.broadcast(chosen), key).select(key, text, "y").dropDuplicates([key])
+    found = materialize(found.withColumn("h", F.xxhash64(key)).withColumn("size", F.length(text)), "reviewed")
+    size = found.select("h", key, "size").toPandas().sort_values(["h", key])
+    within = size[size["size"].cumsum() <= max_chars]
+    last = within["h"].max() if len(within) < len(size) and len(within) else None
+    rows = (found if last is None else found.where(F.col("h") <= int(last))).select(key, text, "y").toPandas().sort_values(key)
     y = (rows["y"].to_numpy(float) > 0.5).astype(float) if len(rows) else np.empty(0)
     if not y.sum() or y.sum() == len(y):
         return AbuseModel(np.zeros(1 << BITS, np.float32), -30.0)
@@ -188,9 +191,7 @@ def _gain(bags: Bags) -> np.ndarray:
     df = np.zeros(1 << BITS)
     for a, b in zip(lo, hi, strict=True):
         df[np.unique(bags.idx[a:b])] += 1
-    gain = 1.0 / (1.0 + df / (1.0 + 0.002 * len(clean)))
-    gain[[hashed("stem", BITS), hashed("masked", BITS)]] *= KNOWN_GAIN
-    return gain
+    return 1.0 / (1.0 + df / (1.0 + 0.002 * len(clean)))
 
 
 def score_documents(docs: DataFrame, model: AbuseModel, key: str = "doc_id", text: str = "text", source: str = "source", threshold: float = 0.25, sentence_threshold: float = 0.25) -> DataFrame:
