@@ -77,9 +77,9 @@ class Compressors:
     no language of their own.
     """
 
-    def __init__(self, dictionaries: dict[str, bytes], level: int = 3, margin: float = 0.04, min_chars: int = 12):
+    def __init__(self, dictionaries: dict[str, bytes], level: int = 3, margin: float = 0.04, min_chars: int = 12, whole_margin: float = 0.02):
         self.langs = [x for x in LANGS if x in dictionaries]
-        self.margin, self.min_chars = margin, min_chars
+        self.margin, self.min_chars, self.whole_margin = margin, min_chars, whole_margin
         params = zstandard.ZstdCompressionParameters.from_level(level, write_content_size=False, write_checksum=False, write_dict_id=False)
         self.by = []
         for lang in self.langs:
@@ -111,8 +111,9 @@ class Compressors:
         """``(language, confidence, text)`` of each longest stretch of one language.
 
         Rejected sentences go to the stretch before them (at the start: after
-        them). A text without any sure sentence is judged as a whole, without
-        margin; ``und`` where even that has no letters.
+        them). A text without any sure sentence is judged as a whole, where
+        ``whole_margin`` is enough; ``und`` where even that is missing or the
+        text has no letters.
         """
         found: list[list] = []
         pending: list[str] = []
@@ -134,9 +135,10 @@ class Compressors:
             if len(raw) < 4:
                 return [("und", 0.0, text)]
             sizes = [len(c.compress(raw)) for c in self.by]
-            best = min(range(len(sizes)), key=sizes.__getitem__)
+            best, second = sorted(range(len(sizes)), key=sizes.__getitem__)[:2]
             conf = 1.0 / sum(2.0 ** (-1.0 * (s - sizes[best])) for s in sizes)
-            return [(self.langs[best], conf, text)]
+            sure = sizes[second] - sizes[best] >= max(1.0, self.whole_margin * sizes[second])
+            return [(self.langs[best] if sure else "und", conf, text)]
         return [(lang, sum(c * n for c, n in cs) / max(1, sum(n for _, n in cs)), " ".join(ss)) for lang, cs, ss in found]
 
 

@@ -6,18 +6,35 @@ from pyspark.sql import functions as F
 from quernstone.llm import abuse, language, lookalike, residue
 from quernstone.llm.skeleton import canonical, folded, skeleton
 
-PAIRS = [("Habi﻿ter le mаrais", "Habiter le marais"), ("ｄｒｏｉｔｓ", "droits"), ("été là", "été là"), ("conﬂits dʼusage", "conflits d’usage"), ("Chroոicle", "Chronicle"), ("« κοινή γη »", "« κοινή γη »")]
-VISIBLE = [("Habiter", "habiter"), ("été", "ete"), ("les communs", "les communs de"), ("a-b", "a–b"), ("12", "13")]
+PAIRS = [("conﬁé", "confié"), ("ab", "ab"), ("ꓐꓰꓡ", "BEL"), ("ᎠᎡᎢ", "DRT"), ("𝒂b", "ab"), ("Habi﻿ter le mаrais", "Habiter le marais"), ("ｄｒｏｉｔｓ", "droits"), ("été là", "été là"), ("conﬂits dʼusage", "conflits d’usage"), ("Chroոicle", "Chronicle"), ("« κοινή γη »", "« κοινή γη »")]
+VISIBLE = [("10 m²", "10 m2"), ("①", "1"), ("½", "1⁄2 "), ("кот", "kot"), ("Habiter", "habiter"), ("été", "ete"), ("les communs", "les communs de"), ("a-b", "a–b"), ("12", "13")]
 
 
 def test_skeletons():
     for a, b in PAIRS:
-        assert skeleton(a) == skeleton(b) and canonical(a) == canonical(b), (a, b)
+        assert skeleton(a) == skeleton(b), (a, b)
+    for a, b in PAIRS[-6:]:
+        assert canonical(a) == canonical(b), (a, b)
     for a, b in VISIBLE:
         assert skeleton(a) != skeleton(b), (a, b)
     assert canonical("« земля и хлеб »") == "« земля и хлеб »" and skeleton(None) is None and skeleton("") == "" and folded("Œuvre ßÉ") == "oeuvre sse"
 
 
+def test_full_list_of_confusables(monkeypatch, tmp_path):
+    from quernstone.llm import skeleton as S
+
+    f = tmp_path / "list.txt"
+    f.write_text("\ufeff# comment\n0442 ; 0074 ;\tMA\t# t\n0031 ; 006C ; MA\n")
+    monkeypatch.setenv("QUERNSTONE_CONFUSABLES", str(f))
+    caches = (S.char_table, S._in_table, S._no_letters)
+    [c.cache_clear() for c in caches]
+    try:
+        assert S.char_table()[0x442] in ("t", "ᴛ") and ord("1") not in S.char_table()
+    finally:
+        monkeypatch.undo()
+        [c.cache_clear() for c in caches]
+
+
 def test_lookalike_pairs(spark):
     rows = [(1, "аb", 0), (2, "ab", 0), (3, "ab", 0), (4, "аb", 0), (5, None, 0), (6, "", 0), (7, "AB", 0), (2, "ab", 0), (8, "​" * 20000 + "ab", 0)]
     forms = lookalike.lookalike_forms(spark.createDataFrame(rows, "id int, text string, field int"), "id", "text", "f")
@@ -77,6 +94,12 @@ def dictionaries(spark):
     return language.train_dictionaries(spark.createDataFrame(rows, "t string, g string"), "t", "g")
 
 
+def test_narrow_whole_text_is_rejected(dictionaries):
+    m = language.Compressors(dictionaries)
+    assert m.stretches("Zixqo vruf pelk dwa.")[0][0] == "und"
+    assert language.Compressors(dictionaries, whole_margin=1.0, margin=1.0).stretches(TEXTS["fr"][0])[0][0] == "und"
+
+
 def test_tags():
     assert [language.tag_language(t) for t in ("fr-FR", "français", "EN_us", "xx", "", None, " und ", "it", "pt-BR")] == ["fr", "fr", "en", None, None, None, None, "other", "pt"]
 
