@@ -9,9 +9,11 @@ the model is validated on hosts that it has not seen.
 from __future__ import annotations
 
 import re
+import re._parser as sre
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -51,7 +53,34 @@ _PHRASES = [
     # filler
     r"lorem ipsum|ipsum lorem|dolor sit amet",
 ]
-_STRONG = re.compile("|".join(f"(?:{p})" for p in _PHRASES))
+
+
+def _literal(pattern: str) -> str:
+    """The longest text that every match of a pattern holds."""
+    runs, run = [""], ""
+    for op, arg in sre.parse(pattern):
+        run = run + chr(arg) if op is sre.LITERAL else ""
+        runs.append(run)
+    return max(runs, key=len)
+
+
+#: Phrases with what to look for before the pattern is tried, and those without such a text.
+_HINTED = [(h, re.compile(p)) for p in _PHRASES if len(h := _literal(p)) > 2]
+_PLAIN = re.compile("|".join(f"(?:{p})" for p in _PHRASES if len(_literal(p)) <= 2))
+
+
+@lru_cache(maxsize=1)
+def _hints() -> ahocorasick.Automaton:
+    found = ahocorasick.Automaton()
+    for h in {h for h, _ in _HINTED}:
+        found.add_word(h, [p for k, p in _HINTED if k == h])
+    found.make_automaton()
+    return found
+
+
+def strong(text: str) -> bool:
+    """Whether a prepared text holds one of the phrases."""
+    return any(p.search(text) for _, ps in _hints().iter(text) for p in ps) or bool(_PLAIN.search(text))
 
 # Words of the usual Latin filler.
 _FILLER = set("lorem ipsum dolor sit amet consectetur adipiscing elit sed eiusmod tempor incididunt labore dolore magna aliqua viverra porta cursus ornare vestibulum sagittis pretium bibendum lacinia pharetra tellus quisque fringilla mauris aliquam vivamus nulla vitae".split())
@@ -63,21 +92,29 @@ _SOFT = re.compile(r"\b(error|erreur|fehler|erro|refuse|denied|denegado|negado|v
 _SPLIT = re.compile(r"(?<=[.!?…])\s+|\n+")
 
 
+#: What a placeholder begins with.
+_OPENS = re.compile(r"[{<\[&@_%$]")
+_WORD = re.compile(r"\w+")
+_UNIT = re.compile(r"\w+|[\[\](){}…:]")
+
+
 def segments(value: str) -> list[str]:
     """Sentences, and every placeholder once more by itself."""
-    return [s for s in (x.strip() for x in _SPLIT.split(value)) if s] + _PLACEHOLDER.findall(value) or [value]
+    named = _PLACEHOLDER.findall(value) if _OPENS.search(value) else []
+    return [s for s in (x.strip() for x in _SPLIT.split(value)) if s] + named or [value]
 
 
+@lru_cache(maxsize=50_000)
 def prepare(segment: str) -> str:
     """Folded text in which every placeholder is the word ``phphph``."""
-    return folded(_PLACEHOLDER.sub(" phphph ", segment)).strip()
+    return folded(_PLACEHOLDER.sub(" phphph ", segment) if _OPENS.search(segment) else segment).strip()
 
 
 def weak_label(seg: str, status_error: bool, title: bool = False) -> int | None:
     """1 residue, 0 content, None no opinion."""
     text = prepare(seg)
-    words = re.findall(r"\w+", text)
-    if "phphph" in words or _STRONG.search(text) or sum(w in _FILLER for w in words) >= 3:
+    words = _WORD.findall(text)
+    if "phphph" in words or strong(text) or sum(map(_FILLER.__contains__, words)) >= 3:
         return 1
     if _SOFT.search(text):
         if len(words) >= (4 if title else 8):
@@ -86,47 +123,67 @@ def weak_label(seg: str, status_error: bool, title: bool = False) -> int | None:
     return 0
 
 
+@lru_cache(maxsize=200_000)
+def _word_ids(w: str) -> tuple[int, ...]:
+    return (hashed(f"u {w}", BITS), hashed(f"c {w[:5]}", BITS)) if len(w) > 5 else (hashed(f"u {w}", BITS),)
+
+
+@lru_cache(maxsize=200_000)
+def _pair_id(a: str, b: str) -> int:
+    return hashed(f"b {a} {b}", BITS)
+
+
+@lru_cache(maxsize=1000)
+def _other_id(name: str) -> int:
+    return hashed(name, BITS)
+
+
 def features(seg: str, whole: bool, title: bool) -> list[int]:
-    """Hashed uni- and bigrams, edge words, length and title features of one sentence."""
-    text = prepare(seg)
-    words = re.findall(r"\w+|[\[\](){}…:]", text)
-    words = [("0s" if re.fullmatch(r"[45]\d\d", w) else "0d") if w.isdigit() else w for w in words]
-    out = {f"u {w}" for w in words}
-    out |= {f"b {a} {b}" for a, b in zip(words, words[1:], strict=False)}
-    out |= {f"c {w[:5]}" for w in words if len(w) > 5}
+    """Hashed uni- and bigrams, word beginnings, length and title features of one sentence."""
+    words = _UNIT.findall(prepare(seg))
+    words = [("0s" if len(w) == 3 and w[0] in "45" else "0d") if w.isdigit() else w for w in words]
+    out = {f for w in words for f in _word_ids(w)}
+    out.update(map(_pair_id, words, words[1:]))
     n = len(words)
-    out.add(f"n {min(n, 24) // 3}")
+    out.add(_other_id(f"n {min(n, 24) // 3}"))
     if title:
-        out.add(f"t whole {whole} {min(n, 6)}")
+        out.add(_other_id(f"t whole {whole} {min(n, 6)}"))
     elif whole:
-        out.add(f"s whole {min(n, 24) // 6}")
+        out.add(_other_id(f"s whole {min(n, 24) // 6}"))
     if title and n and (words[-1] in ("pdf", "doc", "docx", "indd", "qxp", "odt") or "_" in seg or re.fullmatch(r"[\w-]+", seg.strip())) and "phphph" not in words and not re.search(r"\s", seg.strip()):
-        out.add("t file")
-    return [hashed(x, BITS) for x in sorted(out)]
+        out.add(_other_id("t file"))
+    return sorted(out)
 
 
 class Residue:
-    """Trained model; ``score(value, title)`` is the highest sentence probability."""
+    """Trained model; ``scores`` gives the highest sentence probability of each value."""
 
     def __init__(self, w: np.ndarray, bias: float, threshold: float = 0.5):
         self.w, self.bias, self.threshold = w, bias, threshold
-        self.known: dict[tuple[str, bool, bool], float] = {}
-
-    def segment(self, seg: str, whole: bool, title: bool) -> float:
-        key = (seg, whole, title)
-        p = self.known.get(key)
-        if p is None:
-            f = features(seg, whole, title)
-            s = float(self.w[f].sum()) / max(len(f), 1) ** 0.5 + self.bias
-            p = 1.0 / (1.0 + float(np.exp(-max(min(s, 50.0), -50.0))))
-            if len(self.known) > 300_000:
-                self.known.clear()
-            self.known[key] = p
-        return p
+
+    def scores(self, values: list[str], titles: list[bool]) -> np.ndarray:
+        """All sentences of a batch at once, as one sparse product."""
+        flat: list[int] = []
+        ptr, ends, seen = [0], [], {}
+        rows: list[int] = []
+        for v, t in zip(values, titles, strict=True):
+            parts = segments(v)
+            for s in parts:
+                key = (s, len(parts) == 1, t)
+                at = seen.get(key)
+                if at is None:
+                    at = seen[key] = len(ptr) - 1
+                    flat.extend(features(*key))
+                    ptr.append(len(flat))
+                rows.append(at)
+            ends.append(len(rows))
+        n = np.diff(ptr)
+        total = np.add.reduceat(self.w[np.array(flat, np.int64)].astype(np.float64), ptr[:-1]) if flat else np.empty(0)
+        p = 1.0 / (1.0 + np.exp(-np.clip(total / np.sqrt(n) + self.bias, -50.0, 50.0)))
+        return np.maximum.reduceat(p[rows], [0, *ends[:-1]]) if rows else np.empty(0)
 
     def score(self, value: str, title: bool) -> float:
-        parts = segments(value)
-        return max(self.segment(s, len(parts) == 1, title) for s in parts)
+        return float(self.scores([value], [title])[0])
 
 
 def _values(df: DataFrame, key: str, fields: dict[str, tuple[Column, bool]], status: Column, url: Column) -> DataFrame:
@@ -206,7 +263,7 @@ def mark_residue(df: DataFrame, model: Residue, key: str, fields: dict[str, tupl
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = Residue(w, bias, threshold)
         for pdf in batches:
-            score = [m.score(v, t) for v, t in zip(pdf["value"], pdf["title"], strict=True)]
-            yield pd.DataFrame({"rec_key": pdf["rec_key"], "field": pdf["field"], "score": score, "is_residue": [s >= threshold for s in score]})
+            score = m.scores(pdf["value"].tolist(), pdf["title"].tolist())
+            yield pd.DataFrame({"rec_key": pdf["rec_key"], "field": pdf["field"], "score": score, "is_residue": score >= threshold})
 
     return vals.mapInPandas(run, "rec_key string, field string, score double, is_residue boolean")
