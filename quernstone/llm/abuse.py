@@ -76,14 +76,15 @@ def tokens_of(text: str) -> list[list[str]]:
 
 
 def word_features(w: str) -> list[int]:
-    """The word, its beginnings of four to six letters and its ending, so that inflected forms share weights; masked spelling."""
+    """The word, its beginning and its ending, so that inflected forms share weights; masked spelling.
+
+    Beginnings under five letters join what reports and abuse must not share.
+    """
     out = [hashed(f"u {w}", BITS)]
-    if len(w) >= 4:
-        out.append(hashed(f"p {w[:4]}", BITS))
     if len(w) > 5:
         out.append(hashed(f"c {w[:5]}", BITS))
     if len(w) > 6:
-        out += [hashed(f"q {w[:6]}", BITS), hashed(f"e {w[-4:]}", BITS)]
+        out.append(hashed(f"e {w[-4:]}", BITS))
     if "#" in w:
         out.append(hashed("masked", BITS))
     return out
