@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.functions.text import match_form
+from quernstone.functions.text import fold, match_form
+
+# Headings of the references (lower case, no accents).
+HEADINGS = [
+    "bibliographie", "references", "references bibliographiques", "cited works", "works cited", "source", "sources",
+    "oeuvre citee", "oeuvres citees", "œuvre citee", "œuvres citees", "ouvrage cite", "ouvrages cites", "bibliografia", "referencias", "obras citadas",
+]
 
 _MARK = r"\[p\.(\d+)\]"
 
@@ -78,9 +84,9 @@ def bibliography_page(page_rows: DataFrame, key: str, least: int = 5) -> DataFra
     The last page with a heading such as *Bibliographie*, else the page of the
     last third with most years, if it has ``least``.
     """
-    head = r"(?ium)^\s*(bibliographie|r[ée]f[ée]rences(\s+bibliographiques)?|references|works\s+cited|cited\s+works|sources?|[œo]uvres?\s+cit[ée]es?|bibliograf[ií]a|referencias|obras\s+citadas)\s*:?\s*$"
+    lines = F.transform(F.split(fold(F.col("text")), r"\n"), lambda x: F.trim(F.regexp_replace(F.regexp_replace(x, r"\s+", " "), r" ?: ?$", "")))
     years = F.size(F.regexp_extract_all("text", F.lit(r"\b(1[5-9]\d\d|20\d\d)\b"), F.lit(0)))
-    p = page_rows.select(key, "page_no", F.regexp("text", F.lit(head)).alias("headed"), years.alias("years"))
+    p = page_rows.select(key, "page_no", F.exists(lines, lambda x: x.isin(HEADINGS)).alias("headed"), years.alias("years"))
     last = p.groupBy(key).agg(F.max("page_no").alias("last"))
     scored = p.join(last, key)
     late = F.col("page_no") > F.floor(F.col("last") * 2 / 3)

@@ -39,7 +39,7 @@ def unescape(s: pd.Series) -> pd.Series:
 
 def display_title(title: Column, link_text: Column, filename: Column, id_: Column) -> Column:
     """Title, else link text, else the file name made readable, else the id."""
-    from quernstone.functions.meta import humanized
+    from quernstone.functions.titles import humanized
     from quernstone.functions.text import nonblank
 
     return F.coalesce(unescape(nonblank(title)), unescape(nonblank(link_text)), nonblank(humanized(filename)), id_)

@@ -47,10 +47,11 @@ def index_tokens(c: Column) -> Column:
     return F.filter(words, lambda w: ~w.isin(stopwords()))
 
 
-def fingerprint_tokens(c: Column, least: int = 5, most: int = 2000) -> Column:
-    """Distinct words of ``least`` letters or more in alphabetical order, the first ``most``."""
+def fingerprint_tokens(c: Column, least: int = 5, most: int | None = None) -> Column:
+    """Distinct words of ``least`` letters or more in alphabetical order; only the first ``most`` if that is given."""
     words = F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(r"(?U)\w+"), F.lit(0))
-    return F.slice(F.array_sort(F.array_distinct(F.filter(words, lambda w: F.length(w) >= least))), 1, most)
+    found = F.array_sort(F.array_distinct(F.filter(words, lambda w: F.length(w) >= least)))
+    return found if most is None else F.slice(found, 1, most)
 
 
 def match_form(c: Column) -> Column:

@@ -41,18 +41,26 @@ def date_issues(doc_date: Column, title: Column, collected: Column, year_now: in
     )
 
 
+# Capitals that are no shouting, and print formats that should not be in a title.
+ACRONYMS = ["CIRAD", "NDDL", "UBPC", "ANAP", "EZLN", "VALCOM", "OACA", "AMAP", "FIAN", "GRAIN", "IIED"]
+FORMAT_RESIDUE = r"(?i)\b(cahier|page\s*par\s*page|fil\b|to[\s_]read|to[\s_]print|NB\b|[0-9]+p\b|x[0-9]+\b|booklet|livret\s+A[456])"
+
+
 def title_issues(title: Column) -> Column:
-    """Format residue, author in brackets, cut off, capitals, odd signs, length."""
+    """Format residue, author in brackets, cut off, capitals, odd signs, bare language version, series in lower case, length."""
     t = F.trim(F.coalesce(title, F.lit("")))
-    words = F.slice(F.split(t, r"\s+"), 2, 1000)
-    loud = F.exists(words, lambda w: F.regexp(F.regexp_replace(w, r"^[^\p{L}]+|[^\p{L}0-9]+$", ""), F.lit(r"^\p{Lu}{4,}$")))
+    words = F.split(t, r"\s+")
+    words = F.transform(F.slice(words, F.lit(2), F.size(words)), lambda w: F.regexp_replace(w, r"^[^\p{L}]+|[^\p{L}0-9]+$", ""))
+    loud = F.exists(words, lambda w: F.regexp(w, F.lit(r"^\p{Lu}{4,}$")) & ~w.isin(ACRONYMS))
     return F.when(t == "", F.array().cast("array<string>")).otherwise(
         _issues(
-            (F.regexp(t, F.lit(r"(?i)\b(cahier|page\s*par\s*page|to[\s_]read|to[\s_]print|[0-9]+p|booklet|livret\s+A[456])\b")), "format_residue"),
+            (F.regexp(t, F.lit(FORMAT_RESIDUE)), "format_residue"),
             (F.regexp(t, F.lit(r"\([\p{Lu}][\p{Ll}]+\s+[\p{Lu}][\p{Ll}]+\)$")), "author_in_title"),
             (F.endswith(t, F.lit("...")) | F.endswith(t, F.lit("…")), "cut_off"),
             (loud, "capitals"),
             (F.regexp(t, F.lit(r"[_\[\]{}<>|\\]")), "odd_signs"),
+            (F.regexp(t, F.lit(r"(?iu)^— version (lituanienne|italienne|anglaise|espagnole)$")), "bare_version"),
+            (F.regexp(t, F.lit(r"^Mini-Manuel\s+[a-z]")), "series_lower_case"),
             (F.length(t) > 90, "long"),
         )
     )

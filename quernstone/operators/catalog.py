@@ -24,7 +24,7 @@ def latest_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     return df.withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__r")
 
 
-def merge_records(catalog: DataFrame, report: DataFrame, archived: DataFrame | None = None, overrides: DataFrame | None = None) -> DataFrame:
+def merge_records(catalog: DataFrame, report: DataFrame, archived: DataFrame | None = None, overrides: DataFrame | None = None, extras: tuple[str, ...] = ()) -> DataFrame:
     """Catalogue after a report: ``id`` and the fields of both, by rule.
 
     ``report`` has one row per record of one run: ``id, run_date, source, url,
@@ -33,8 +33,12 @@ def merge_records(catalog: DataFrame, report: DataFrame, archived: DataFrame | N
     type, bibliographic fields only if the new value says something; download
     marks and titles are set once and stay; archived records do not come back;
     overrides come last. Applying one report twice changes nothing.
+    ``recit_de_lutte``, ``collected_date`` and the other bibliographic fields
+    are merged where the catalogue has them; ``extras`` are fields that a new
+    value replaces as a whole (structs too) and a missing one leaves.
     """
     new = report if archived is None else report.join(archived.select("id").distinct(), "id", "left_anti")
+    fresh_cols = set(new.columns)
     n = new.select("id", *[F.col(c).alias(f"n_{c}") for c in new.columns if c != "id"])
     got = catalog.join(n, "id", "full_outer")
     hit = F.col("n_run_date").isNotNull()
@@ -43,6 +47,13 @@ def merge_records(catalog: DataFrame, report: DataFrame, archived: DataFrame | N
     now = F.coalesce(F.col("n_downloaded"), F.lit(False))
     initial = F.coalesce(F.when(hit, F.col("n_score")), F.col("score_initial"), F.col("latest_score"))
     final = F.coalesce("n_read_score", "score_final")
+    more = [(keep(c, f"n_{c}") if c in fresh_cols else F.coalesce(F.col(c), F.lit(""))).alias(c) for c in ("editeur", "doi", "isbn", "hal_id") if c in catalog.columns]
+    if "recit_de_lutte" in catalog.columns:
+        told = [F.col("n_recit_de_lutte")] if "recit_de_lutte" in fresh_cols else []
+        more.append(F.coalesce(*told, F.col("recit_de_lutte"), F.lit(False)).alias("recit_de_lutte"))
+    if "collected_date" in catalog.columns:
+        more.append(F.coalesce("n_run_date", "collected_date").alias("collected_date"))
+    more += [(F.coalesce(F.col(f"n_{c}"), F.col(c)) if c in fresh_cols else F.col(c)).alias(c) for c in extras]
     out = got.select(
         "id",
         F.coalesce("url", "n_url").alias("url"),
@@ -58,7 +69,12 @@ def merge_records(catalog: DataFrame, report: DataFrame, archived: DataFrame | N
         (was | now).alias("downloaded"),
         F.when(~was & now, F.col("n_saved_as")).otherwise(F.col("saved_as")).alias("saved_as"),
         F.when(nonblank(F.col("title")).isNull() & now, F.coalesce(F.col("n_title"), F.col("title"))).otherwise(F.col("title")).alias("title"),
+        *more,
     )
+    return _overridden(out, overrides)
+
+
+def _overridden(out: DataFrame, overrides: DataFrame | None) -> DataFrame:
     if overrides is not None:
         o = overrides.select("id", F.col("score").alias("o_score"))
         out = out.join(o, "id", "left").withColumn("score_final", F.coalesce("o_score", "score_final")).drop("o_score")

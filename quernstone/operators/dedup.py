@@ -18,11 +18,20 @@ def clusters(df: DataFrame, key: str, digest: Column) -> DataFrame:
 
 
 def exact_duplicates(df: DataFrame, key: str, digest: Column) -> DataFrame:
-    """``key, canonical, rank, n``: every member of a group; the first to arrive is canonical."""
-    w = Window.partitionBy("digest").orderBy(key)
+    """``key, canonical, rank, n``: every member of a group; the first to arrive is canonical.
+
+    Members are sorted over ranges of (digest, key) and ranked inside each
+    range; ranges before it are added up, so a content that a third of all
+    records share is ranked in as many tasks as it fills.
+    """
     got = df.select(F.col(key), digest.alias("digest")).where("digest is not null")
     groups = clusters(got, key, F.col("digest")).select("digest", "n", "canonical")
-    return got.join(groups, "digest").withColumn("rank", F.row_number().over(w)).select(key, "canonical", "rank", "n")
+    ranged = got.join(groups, "digest").repartitionByRange("digest", key).withColumn("part", F.spark_partition_id())
+    ranged = materialize(ranged, "dup")
+    before = Window.partitionBy("digest").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy("digest", "part").agg(F.count(F.lit(1)).alias("c")).withColumn("offset", F.coalesce(F.sum("c").over(before), F.lit(0))).select("digest", "part", "offset")
+    local = F.row_number().over(Window.partitionBy("digest", "part").orderBy(key))
+    return ranged.withColumn("local", local).join(offsets, ["digest", "part"]).select(key, "canonical", (F.col("offset") + F.col("local")).cast("int").alias("rank"), "n")
 
 
 def duplicate_report(df: DataFrame, digest: Column, size: Column) -> DataFrame:

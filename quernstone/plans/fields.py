@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quernstone.functions import lang, meta, text
+from quernstone.functions import lang, meta, text, titles
 from quernstone.session import table
 
 YEAR_NOW = 2026
@@ -61,11 +61,11 @@ def publishers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def editorial_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _cat(spark, sf_dir).select("id", meta.normalize_title(F.col("title"), F.col("meta.pdf_title"), F.col("filename")).alias("title"))
+    return _cat(spark, sf_dir).select("id", titles.normalize_title(F.col("title"), F.col("meta.pdf_title"), F.col("filename"), F.col("author")).alias("title"))
 
 
 def humanized_filenames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _cat(spark, sf_dir).select("id", meta.humanized(F.col("filename")).alias("name"), meta.meaningless_title(F.col("meta.pdf_title"), F.col("filename")).alias("meaningless"))
+    return _cat(spark, sf_dir).select("id", titles.humanized(F.col("filename")).alias("name"), titles.meaningless_title(F.col("meta.pdf_title"), F.col("filename")).alias("meaningless"))
 
 
 def excerpts(spark: SparkSession, sf_dir: str) -> DataFrame:

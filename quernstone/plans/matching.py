@@ -118,7 +118,7 @@ def _tokens_sql(x: str) -> str:
     return rf"list_filter(regexp_extract_all({fold_sql(x)}, '[a-zß-öø-ÿ]{{3,}}'), lambda w: w not in ({stop}))"
 
 
-_FINGER = r"list_slice(list_sort(list_distinct(list_filter(regexp_extract_all(lower(text), '[\p{L}\p{N}\p{M}_]+'), lambda w: length(w) >= 5))), 1, 2000)"
+_FINGER = r"list_sort(list_distinct(list_filter(regexp_extract_all(lower(text), '[\p{L}\p{N}\p{M}_]+'), lambda w: length(w) >= 5)))"
 _SETS = f"with f as (select doc_id, {_FINGER} as ts from documents), s as (select min(doc_id) as k, ts from f where len(ts) > 0 group by ts), e as (select k, len(ts) as n, unnest(ts) as t from s)"
 _PAIRS = f"""{_SETS}, c as (select a.k as a, b.k as b, a.n as n, b.n as m, count(*) as c from e a join e b on a.t = b.t and a.k < b.k and least(a.n, b.n) >= {JACCARD} * greatest(a.n, b.n) - 1e-9
   group by all), p as (select a, b, round(c / (n + m - c), 6) as similarity from c where c / (n + m - c) >= {JACCARD} - 1e-9)"""

@@ -172,10 +172,10 @@ def oracle_sql() -> dict[str, str]:
         + ") group by issue",
         "title_audit": "with i as (select trim(title) as t from catalog_docs where trim(title) <> '') select issue, count(*) as n from ("
         + issues([
-            ("format_residue", r"regexp_matches(t, '(?i)\b(cahier|page\s*par\s*page|to[\s_]read|to[\s_]print|[0-9]+p|booklet|livret\s+A[456])\b')"),
+            ("format_residue", f"regexp_matches(t, '{audit.FORMAT_RESIDUE}')"),
             ("author_in_title", r"regexp_matches(t, '\([\p{Lu}][\p{Ll}]+\s+[\p{Lu}][\p{Ll}]+\)$')"), ("cut_off", "ends_with(t, '...') or ends_with(t, '…')"),
-            ("capitals", r"len(list_filter(string_split_regex(t, '\s+')[2:], lambda w: regexp_full_match(regexp_replace(regexp_replace(w, '^[^\p{L}]+', ''), '[^\p{L}0-9]+$', ''), '\p{Lu}{4,}'))) > 0"),
-            ("odd_signs", r"regexp_matches(t, '[_\[\]{}<>|\\]')"), ("long", "length(t) > 90"),
+            ("capitals", r"len(list_filter(string_split_regex(t, '\s+')[2:], lambda w: regexp_full_match(regexp_replace(regexp_replace(w, '^[^\p{L}]+', ''), '[^\p{L}0-9]+$', ''), '\p{Lu}{4,}') and regexp_replace(regexp_replace(w, '^[^\p{L}]+', ''), '[^\p{L}0-9]+$', '') not in (" + ", ".join(f"'{a}'" for a in audit.ACRONYMS) + "))) > 0"),
+            ("odd_signs", r"regexp_matches(t, '[_\[\]{}<>|\\]')"), ("bare_version", "regexp_matches(t, '(?i)^— version (lituanienne|italienne|anglaise|espagnole)$')"), ("series_lower_case", r"regexp_matches(t, '^Mini-Manuel\s+[a-z]')"), ("long", "length(t) > 90"),
         ]) + ") group by issue",
         "enrichment_retries": rf"""with i as (select id, coalesce(enrichment.summary, '') as s, enrichment.en_clair as p from catalog_docs where enrichment is not null and enrichment.error is null)
             select id, 'summary' as field from i where trim(s) = '' or {real} < 80 or regexp_matches(s, 'https?://') union all select id, 'en_clair' from i where coalesce(trim(p), '') = ''""",
@@ -184,6 +184,10 @@ def oracle_sql() -> dict[str, str]:
             regexp_extract(c, '(1[5-9]\d\d|20[0-4]\d)', 1) as cy, regexp_extract(c, '(?:1[5-9]\d\d|20[0-4]\d)(\d\d)', 1) as m, regexp_extract(c, '(?:1[5-9]\d\d|20[0-4]\d)\d\d(\d\d)', 1) as dd from r),
             w as (select a, case when m between '01' and '12' and dd between '01' and '31' then cy || '-' || m || '-' || dd else cy end as b from v)
             select case when a = '' and b = '' then 'none' when a = b then 'high' when a = '' or b = '' then 'low' when substr(a, 1, 4) = substr(b, 1, 4) then 'medium' else 'conflict' end as confidence, count(*) as n from w group by 1""",
+        "bibliography_pages": f"""with p as (select doc_id, page_no, len(list_filter(string_split({fold_sql('text')}, chr(10)), lambda x: trim(regexp_replace(regexp_replace(x, '\\s+', ' ', 'g'), ' ?: ?$', '')) in ({', '.join("'" + h + "'" for h in cite.HEADINGS)}))) > 0 as headed,
+            len(regexp_extract_all(text, '\\b(1[5-9]\\d\\d|20\\d\\d)\\b')) as years from {_PG} where page_no > 0 or text <> ''), l as (select *, max(page_no) over (partition by doc_id) as last from p),
+            g as (select doc_id, max(page_no) filter (headed) as h, arg_max(page_no, (years, -page_no)) filter (page_no > floor(last * 2 / 3) and years >= 3) as y from l group by doc_id)
+            select doc_id, coalesce(h, y) as page_no, case when h is not null then 'heading' else 'years' end as how from g where h is not null or y is not null""",
         "footnote_links": rf"""with l as (select doc_id, page_no, string_split(text, chr(10)) as ls from {_PG} where page_no > 0 or text <> ''), u as (select doc_id, page_no, len(ls) as n, unnest(range(0, len(ls))) as i, unnest(ls) as line from l),
             k as (select * from u where regexp_matches(line, '^\s*([¹²³⁴⁵⁶⁷⁸⁹⁰]+|\d{{1,3}}[.)]?)\s+\S') or i >= n // 2)
             select distinct doc_id, page_no, kind, target from (select doc_id, page_no, 'url' as kind, regexp_replace(unnest(regexp_extract_all(line, 'https?://[^\s)"''<>\]]+')), '[.,);]+$', '') as target from k

@@ -42,15 +42,16 @@ def late_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merged_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Catalogue after its latest run rows are merged, with overrides and an archive."""
+    """Catalogue after its latest run rows are merged, twice (the second time changes nothing), with overrides and an archive."""
     cat = _cat(spark, sf_dir)
     last = catalog.latest_per_key(catalog.run_history(_runs(spark, sf_dir)), "id", [F.col("run_date")])
-    report = last.select("id", "run_date", "source", "url", "score", F.lit(None).cast("int").alias("read_score"), F.lit(None).cast("string").alias("doc_type"), F.lit("").alias("doc_date"), F.lit("").alias("lang"), "downloaded", F.concat(F.col("id"), F.lit(".pdf")).alias("saved_as"), F.col("link_text").alias("title"))
+    report = last.select("id", "run_date", "source", "url", "score", F.lit(None).cast("int").alias("read_score"), F.lit(None).cast("string").alias("doc_type"), F.lit("").alias("doc_date"), F.lit("").alias("lang"), "downloaded", F.concat(F.col("id"), F.lit(".pdf")).alias("saved_as"), F.col("link_text").alias("title"), F.when(F.col("score") >= 8, True).alias("recit_de_lutte"), F.when(F.col("score") >= 8, F.col("model")).otherwise("").alias("editeur"), F.lit(" ").alias("doi"))
     archived = cat.where("source = 'Kiosque du Pré Commun' and latest_score <= 1").select("id")
     overrides = cat.where("score_final is null and latest_score >= 9").select("id", F.lit(10).alias("score"))
-    base = cat.select("id", "url", "source", "first_seen", "latest_run", "score_initial", "latest_score", "score_final", "doc_type", "doc_date", "lang", "downloaded", "saved_as", "title")
-    got = catalog.merge_records(base, report, archived, overrides)
-    return got.select("id", "latest_run", "score_initial", "latest_score", "score_final", "doc_type", "lang", "downloaded", "saved_as", "title")
+    base = cat.select("id", "url", "source", "first_seen", "latest_run", "score_initial", "latest_score", "score_final", "doc_type", "doc_date", "lang", "downloaded", "saved_as", "title", "editeur", "doi", "isbn", "hal_id", "recit_de_lutte", "collected_date", "meta")
+    once = catalog.merge_records(base, report, archived, overrides, ("meta",))
+    got = catalog.merge_records(once, report, archived, overrides, ("meta",))
+    return got.select("id", "latest_run", "score_initial", "latest_score", "score_final", "doc_type", "lang", "downloaded", "saved_as", "title", "editeur", "doi", "isbn", "hal_id", "recit_de_lutte", "collected_date", F.col("meta.page_count").alias("page_count"))
 
 
 def archive_move(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -219,7 +220,9 @@ def oracle_sql() -> dict[str, str]:
             select coalesce(c.id, r.id) as id, coalesce(r.run_date, c.latest_run) as latest_run, coalesce(r.score, c.score_initial, c.latest_score) as score_initial, coalesce(r.score, c.latest_score) as latest_score,
             case when c.score_final is null and c.latest_score >= 9 then 10 else c.score_final end as score_final, coalesce(c.doc_type, 'autre') as doc_type, coalesce(c.lang, '') as lang,
             coalesce(c.downloaded, false) or coalesce(r.downloaded, false) as downloaded, case when not coalesce(c.downloaded, false) and r.downloaded then r.id || '.pdf' else c.saved_as end as saved_as,
-            case when coalesce(trim(c.title), '') = '' and r.downloaded then coalesce(r.link_text, c.title) else c.title end as title from catalog_docs c full join r on c.id = r.id""",
+            case when coalesce(trim(c.title), '') = '' and r.downloaded then coalesce(r.link_text, c.title) else c.title end as title,
+            coalesce(case when r.score >= 8 then nullif(trim(r.model), '') end, c.editeur, '') as editeur, coalesce(c.doi, '') as doi, coalesce(c.isbn, '') as isbn, coalesce(c.hal_id, '') as hal_id,
+            coalesce(case when r.score >= 8 then true end, c.recit_de_lutte, false) as recit_de_lutte, coalesce(r.run_date, c.collected_date) as collected_date, c.meta.page_count as page_count from catalog_docs c full join r on c.id = r.id""",
         "archive_move": """select id, case when coalesce(score_initial, 0) <= 2 and score_final is null and not coalesce(downloaded, false) and source in ('Kiosque du Pré Commun', 'Forum des Landes') then 'archive' else 'catalog' end as tier from catalog_docs""",
         "local_fill": """select id, case when g then coalesce(nullif(trim(lang), ''), '') else coalesce(nullif(trim(lang), ''), lang) end as lang, coalesce(nullif(trim(doc_date), ''), case when not g then doc_date end) as doc_date, score_final
             from (select *, cast('0x' || substr(id, 1, 4) as int) % 2 = 0 as g from catalog_docs)""",

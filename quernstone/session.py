@@ -60,12 +60,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach.
 
-    It is the one named in ``spark.checkpoint.dir``. Only where that is unset
-    (local sessions, tests) a temporary folder of this machine is used.
+    It is the one named in ``spark.checkpoint.dir``, else the checkpoint folder
+    of the context. Only a local session (tests) may have neither and use a
+    temporary folder of this machine; on a cluster that raises, as executors
+    would write to disks of their own.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN_DIRS:
         _OWN_DIRS[app] = "file://" + tempfile.mkdtemp(prefix="quernstone-")

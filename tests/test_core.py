@@ -4,7 +4,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from quernstone.functions import cite, lang, meta, rules, text
+from quernstone.functions import cite, lang, meta, rules, text, titles
 from quernstone.operators import audit, catalog, dedup, discover, search, throttle
 from quernstone.operators.graph import connected_components
 from quernstone.operators.grouping import map_key_runs, split_hot
@@ -47,11 +47,16 @@ def test_identifiers(spark):
 
 
 def test_titles(spark):
-    t = lambda link, pdf, name: one(spark, meta.normalize_title(F.lit(link).cast("string"), F.lit(pdf).cast("string"), F.lit(name).cast("string")))
+    t = lambda link, pdf, name: one(spark, titles.normalize_title(F.lit(link).cast("string"), F.lit(pdf).cast("string"), F.lit(name).cast("string")))
     assert t("· Les terres communes (PDF)", "Microsoft Word - x.doc", "x.pdf") == "Les terres communes"
     assert t("", "", "les_terres-communes.pdf") == "les terres communes"
     assert t("Titre: suite - fin (version italienne, à imprimer)", "", "a.pdf") == "Titre : suite — fin (version italienne)"
     assert t(None, None, None) == ""
+    assert t("8pp A5", None, "la_terre-nue.pdf") == "la terre nue" and t("8pp A5", None, "A5.pdf") == "" and t("Terres nues 16 pages A5", "", "") == "Terres nues" and t("Terres NB", "", "") == "Terres"
+    assert t("mini-manuel", "Manuel du jardin partagé", "x.pdf") == "Mini-Manuel : Du jardin partagé" and t("Mini Manuel de la terre", None, None) == "Mini-Manuel : De la terre"
+    by = one(spark, titles.normalize_title(F.lit("Les landes (Ana Roux)"), F.lit(None).cast("string"), F.lit(""), F.lit("Ana Roux")))
+    assert by == "Les landes" and t("Les landes (Ana Roux)", None, "") == "Les landes (Ana Roux)"
+    assert t("Un titre (cahier) (PDF)", "Working paper 12", "") == "Un titre" and t("Les terres (PDF, 2e édition) en commun", None, "") == "Les terres (2e édition) en commun"
 
 
 def test_language(spark):
