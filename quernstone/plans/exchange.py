@@ -134,6 +134,11 @@ def _xml(x: str) -> str:
     return f"replace(replace(replace(replace(replace(coalesce({x}, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&apos;')"
 
 
+def _json(name: str, x: str) -> str:
+    """SQL for a member of a JSON object; nothing where the value is null."""
+    return f"""coalesce(',"{name}":' || to_json({x})::varchar, '')"""
+
+
 def oracle_sql() -> dict[str, str]:
     hay = "lower(coalesce(title, '') || ' ' || coalesce(enrichment.summary, ''))"
     n = lambda ks: " + ".join(f"cast(contains({hay}, '{k}') as int)" for k in ks)
@@ -164,6 +169,12 @@ def oracle_sql() -> dict[str, str]:
         "rss_export": f"""select id, '<item><title>' || {_xml("coalesce(nullif(trim(title), ''), filename)")} || '</title><link>' || {_xml('url')} || '</link><description>' ||
             {_xml(f"case when length({short}) > 280 then rtrim(substr({short}, 1, 280)) || '…' else {short} end")} || '</description>' || coalesce('<pubDate>' || strftime({ts}, '%a, %d %b %Y %H:%M:%S') || ' +0000</pubDate>', '') || '</item>' as item
             from catalog_docs where {PUBLISHABLE}""",
+        "record_descriptions": f"""select id, '{{"@context":"https://schema.org","@type":"' || case when meta.page_count >= 60 then 'Book' else 'CreativeWork' end || '"' || {_json('name', 'title')} || {_json('description', "nullif(trim(enrichment.summary), '')")}
+            || {_json('inLanguage', "nullif(trim(lang), '')")} || {_json('url', 'url')} || '}}' as json_ld from catalog_docs where {PUBLISHABLE}""",
+        "csl_export": rf"""select id, '{{"id":' || to_json(id)::varchar || ',"type":"document"' || {_json('title', "coalesce(nullif(trim(meta.pdf_title), ''), 'Sans titre')")} || {_json('URL', "nullif(trim(url), '')")}
+            || case when a is null then '' when contains(a, ' ') then ',"author":[{{"given":' || to_json(regexp_extract(a, '(?s)^(.*) (\S+)$', 1))::varchar || ',"family":' || to_json(regexp_extract(a, '(?s)^(.*) (\S+)$', 2))::varchar || '}}]'
+            else ',"author":[{{"literal":' || to_json(a)::varchar || '}}]' end || coalesce(',"issued":{{"date-parts":[[' || nullif(regexp_extract(coalesce(doc_date, ''), '\b(1[5-9]\d\d|20\d\d)\b', 1), '') || ']]}}', '')
+            || {_json('DOI', "nullif(trim(doi), '')")} || '}}' as entry from (select *, nullif(trim(author), '') as a from catalog_docs where {PUBLISHABLE})""",
         "sitemap_export": f"select id, '<url><loc>https://library.example/records/' || id || '.html</loc><lastmod>' || coalesce(collected_date, '2026-11-26') || '</lastmod></url>' as entry from catalog_docs where {PUBLISHABLE}",
         "published_catalog": f"select id, title, source, enrichment.summary as summary from catalog_docs where {PUBLISHABLE}",
         "shared_sources": f"""select s.label as source, s.url, s.type, s.orientation, coalesce(records, 0) as records, coalesce(good, 0) as good from sources s left join

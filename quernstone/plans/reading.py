@@ -32,7 +32,11 @@ def bibliography_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def footnote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cite.footnote_links(_pages(spark, sf_dir), "doc_id")
+    """Addresses in footnotes; the texts have none, so that of the record stands as one under each."""
+    urls = table(spark, sf_dir, "catalog_docs").select(F.col("id").alias("catalog_id"), "url", "doi")
+    docs = table(spark, sf_dir, "documents").join(urls, "catalog_id", "left")
+    noted = docs.select("doc_id", F.concat("text", F.coalesce(F.concat(F.lit("\n12 "), "url"), F.lit("")), F.coalesce(F.concat(F.lit("\n13. "), F.nullif("doi", F.lit(""))), F.lit(""))).alias("text"))
+    return cite.footnote_links(cite.pages(noted, "doc_id", "text"), "doc_id")
 
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,8 +61,10 @@ def quote_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quote_page_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").where("catalog_id is not null").select(F.col("catalog_id").alias("id"), "text")
-    return cite.quote_pages(table(spark, sf_dir, "citations"), cite.pages(docs, "id", "text"), "cit_id", "quote", "id")
+    """First page on which a passage stands; the passages are the first 80 characters of every page."""
+    pages = _pages(spark, sf_dir)
+    key = F.concat_ws("/", F.col("doc_id").cast("string"), F.col("page_no").cast("string"))
+    return cite.quote_pages(pages.select(key.alias("passage"), "doc_id", F.substring("text", 1, 80).alias("quote")).distinct(), pages, "passage", "quote", "doc_id")
 
 
 def quotes_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,6 +141,7 @@ _PROBE = f"(case when len({_WORDS}) >= 4 then array_to_string(list_slice({_WORDS
 _VERIFIED = f"""with {_TEXTS}, b as (select id, {_match('text')} as body from t), q as (select cit_id, id, {_match('quote')} as m from citations), v as (select cit_id, id, bool_or(coalesce(m <> '' and contains(body, m), false)) as exact,
   bool_or(coalesce(contains(body, {_PROBE}), false)) as partial from q left join b using (id) group by all)"""
 _PG = r"(select doc_id, cast(regexp_extract(part, '\[p\.(\d+)\]', 1) as int) as page_no, trim(regexp_replace(part, '^\[p\.\d+\]', '')) as text from (select doc_id, unnest(string_split(replace('[p.0]' || text, '[p.', chr(1) || '[p.'), chr(1))) as part from documents) where part <> '')"
+_NOTED = _PG.replace("from documents)", r"from (select doc_id, text || coalesce(chr(10) || '12 ' || url, '') || coalesce(chr(10) || '13. ' || nullif(doi, ''), '') as text from documents d left join catalog_docs c on c.id = d.catalog_id))")
 _ISO = r"\b((?:1[5-9]\d\d|20[0-4]\d)-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01]))\b"
 _YR = r"\b(1[5-9]\d\d|20[0-4]\d)\b"
 _URL = "(contains(s, 'http://') or contains(s, 'https://'))"
@@ -155,8 +162,8 @@ def oracle_sql() -> dict[str, str]:
         "verified_quotes": f"{_VERIFIED} select cit_id, exact or partial as verified, case when exact then 'exact' when partial then 'partial' end as how from v",
         "quote_audit": f"""{_VERIFIED} select case when c.id is null or c.id not in (select id from t) then 'text missing' when coalesce(c.verified, false) and (exact or partial) then 'confirmed'
             when coalesce(c.verified, false) then 'regression' when exact or partial then 'newly verified' else 'never verified' end as category, count(*) as n from citations c join v using (cit_id) group by 1""",
-        "quote_page_numbers": f"""with p as (select d.catalog_id as id, page_no, {_match('p.text')} as body from {_PG} p join documents d using (doc_id) where d.catalog_id is not null and (page_no > 0 or p.text <> '')),
-            q as (select cit_id, id, {_match('quote')} as m from citations) select cit_id, min(page_no) as page_no from q join p using (id) where m <> '' and contains(body, m) group by cit_id""",
+        "quote_page_numbers": f"""with p as (select doc_id, page_no, text, {_match('text')} as body from {_PG} where page_no > 0 or text <> ''), q as (select distinct doc_id || '/' || page_no as passage, doc_id, {_match('substr(text, 1, 80)')} as m from p)
+            select passage, min(page_no) as page_no from q join p using (doc_id) where m <> '' and contains(body, m) group by passage""",
         "quotes_by_position": "select a.id, a.quote_pos, a.page, b.page as next_page from citations a left join citations b on b.id = a.id and b.quote_pos = a.quote_pos + 1",
         "untranslated_quotes": """select id, count(*) filter (lower(substr(lang, 1, 2)) in ('en', 'es', 'de', 'pt', 'it', 'ca') and trim(coalesce(quote, '')) <> '' and trim(coalesce(quote_fr, '')) = '') as pending,
             count(*) as quotes from citations group by id having pending > 0""",
@@ -188,7 +195,7 @@ def oracle_sql() -> dict[str, str]:
             len(regexp_extract_all(text, '\\b(1[5-9]\\d\\d|20\\d\\d)\\b')) as years from {_PG} where page_no > 0 or text <> ''), l as (select *, max(page_no) over (partition by doc_id) as last from p),
             g as (select doc_id, max(page_no) filter (headed) as h, arg_max(page_no, (years, -page_no)) filter (page_no > floor(last * 2 / 3) and years >= 3) as y from l group by doc_id)
             select doc_id, coalesce(h, y) as page_no, case when h is not null then 'heading' else 'years' end as how from g where h is not null or y is not null""",
-        "footnote_links": rf"""with l as (select doc_id, page_no, string_split(text, chr(10)) as ls from {_PG} where page_no > 0 or text <> ''), u as (select doc_id, page_no, len(ls) as n, unnest(range(0, len(ls))) as i, unnest(ls) as line from l),
+        "footnote_links": rf"""with l as (select doc_id, page_no, string_split(text, chr(10)) as ls from {_NOTED} where page_no > 0 or text <> ''), u as (select doc_id, page_no, len(ls) as n, unnest(range(0, len(ls))) as i, unnest(ls) as line from l),
             k as (select * from u where regexp_matches(line, '^\s*([¹²³⁴⁵⁶⁷⁸⁹⁰]+|\d{{1,3}}[.)]?)\s+\S') or i >= n // 2)
             select distinct doc_id, page_no, kind, target from (select doc_id, page_no, 'url' as kind, regexp_replace(unnest(regexp_extract_all(line, 'https?://[^\s)"''<>\]]+')), '[.,);]+$', '') as target from k
             union all select doc_id, page_no, 'doi', 'https://doi.org/' || regexp_replace(unnest(regexp_extract_all(line, '\b10\.\d{{4,9}}/[-._;()/:A-Za-z0-9]+')), '[.,);]+$', '') from k)""",

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from quernstone.functions import cite, meta, pagetext, rules
 from quernstone.functions.text import nonblank
 from quernstone.operators import audit, discover
-from quernstone.plans import records
+from quernstone.plans import fields, records
 from quernstone.plans.corpus import PUBLISHABLE
 from quernstone.session import table
 
+DATING = ["crue", "Vers", "Dès", "By", "Hacia", "Um"]
 NOW = "2026-11-26 00:00:00"
 
 
@@ -37,7 +38,7 @@ def readable_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def denoised_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.length(pagetext.denoise(F.col("text"), F.lit(None).cast("string"))).alias("chars"))
+    return table(spark, sf_dir, "documents").select("doc_id", pagetext.denoise(F.col("text"), F.lit(None).cast("string")).alias("text"))
 
 
 def stub_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,9 +46,8 @@ def stub_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def year_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Excerpts with a keyword close to a year, eight per document (a budget)."""
-    found = cite.year_evidence(F.col("text"), "crue|Vers|Dès|By|Hacia|Um")
-    return table(spark, sf_dir, "documents").select("doc_id", F.size(F.slice(found, 1, 8)).alias("excerpts")).where("excerpts > 0")
+    """Every excerpt with a keyword close to a year, in order of the text; this corpus has words of dating, none of publishing."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(cite.year_evidence(F.col("text"), "|".join(DATING))).alias("pos", "excerpt"))
 
 
 def date_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,7 +109,17 @@ def oracle_sql() -> dict[str, str]:
     strip = "trim(regexp_replace(regexp_replace(coalesce(filename, ''), '(?i)\\.[a-z0-9]+$', ''), '[_-]', ' ', 'g'))"
     marked = " or ".join("contains(t, '{}')".format(b.replace("'", "''")) for b in pagetext.BANNER)
     lines = "list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x)), lambda x: {})"
+    dates = fields.oracle_sql()["heuristic_dates"]
+    named = "list_transform(regexp_extract_all(concat_ws(' ', title, filename, url), '\\b(1[5-9]\\d\\d|20\\d\\d)\\b', 1), lambda y: cast(y as int))"
     return {
+        "date_candidates": f"""select id, k as candidate, case when y is null then 'none' when len(list_filter(n, lambda v: abs(v - y) >= 3)) > 0 then 'conflict' when list_contains(n, y) then 'high' when found = k then 'medium' else 'low' end as confidence
+            from (select id, found, case when pdf_date <> '' then pdf_date else found end as k, try_cast(nullif(substr(case when pdf_date <> '' then pdf_date else found end, 1, 4), '') as int) as y, {named} as n
+            from catalog_docs join ({dates}) using (id) where coalesce(trim(doc_date), '') = '')""",
+        "year_evidence": r"""select doc_id, cast(unnest(range(len(e))) as int) as pos, unnest(e) as excerpt
+            from (select doc_id, regexp_extract_all(text, '(?i)[^\n]{0,30}(?:""" + "|".join(DATING) + r""")[^\n]{0,30}\b(?:1[5-9]|20)\d\d\b') as e from documents)""",
+        "address_variants": r"""select id, address from (select distinct id, unnest([url, regexp_replace(url, '\.(pdf|epub|txt|odt)$', '') || '.pdf', regexp_replace(url, '\.(pdf|epub|txt|odt)$', '') || '_text.pdf',
+            case when regexp_extract(url, '/download/([^/]+)/', 1) <> '' then regexp_extract(url, '^(.*/download/[^/]+/)', 1) || regexp_extract(url, '/download/([^/]+)/', 1) || '.pdf' end]) as address
+            from catalog_docs where download_status <> 'ok') where address is not null""",
         "display_titles": f"select id, coalesce(nullif(trim(title), ''), nullif({strip}, ''), id) as title from catalog_docs",
         "readable_documents": f"""select doc_id, length(text) >= 200 and length(trim(regexp_replace(text, '\\[p\\.\\d+\\]', '', 'g'))) >= 200 as readable, t = '' or (({marked}) and length(trim(t)) <= 2000) as banner_only,
             len(l) <= 2 or coalesce(list_sum(list_transform(l, lambda x: length(x))), 0) < 120 as cover from (select doc_id, coalesce(text, '') as text, lower(coalesce(text, '')) as t,
