@@ -193,7 +193,7 @@ def test_rounds_until_nothing_merges(spark, monkeypatch):
         resolve(spark, ["Octave Besvirhuzia", "Octave Besvirhzia"], max_rounds=1)
     rounds = []
     monkeypatch.setattr(N, "_edges", lambda profiles, *a: profiles.select(N.F.col("pid").alias("a"), N.F.col("pid").alias("b"), N.F.lit(2).alias("strength")))
-    monkeypatch.setattr(N, "_merge", lambda profiles, edges: rounds.append(1) or (profiles.select("pid", N.F.col("pid").alias("root")) if len(rounds) < 6 else None))
+    monkeypatch.setattr(N, "_merge", lambda profiles, edges: rounds.append(1) or (N.materialize(profiles.select("pid", N.F.col("pid").alias("root"))) if len(rounds) < 6 else None))
     resolve(spark, ["Octave Besvirhuzia"])
     assert len(rounds) == 6
 
