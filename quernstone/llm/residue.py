@@ -16,7 +16,7 @@ from functools import lru_cache, reduce
 import ahocorasick
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quernstone.llm.linear import bag_probability, fit, hashed, pack
@@ -78,9 +78,20 @@ def _hints() -> ahocorasick.Automaton:
     return found
 
 
+def phrase(text: str) -> str | None:
+    """The pattern of the first phrase found in a prepared text; None without one."""
+    for _, ps in _hints().iter(text):
+        for p in ps:
+            if p.search(text):
+                return p.pattern
+    found = _PLAIN.search(text)
+    return found and f"plain {found[0]}"
+
+
 def strong(text: str) -> bool:
     """Whether a prepared text holds one of the phrases."""
-    return any(p.search(text) for _, ps in _hints().iter(text) for p in ps) or bool(_PLAIN.search(text))
+    return phrase(text) is not None
+
 
 # Words of the usual Latin filler.
 _FILLER = set("lorem ipsum dolor sit amet consectetur adipiscing elit sed eiusmod tempor incididunt labore dolore magna aliqua viverra porta cursus ornare vestibulum sagittis pretium bibendum lacinia pharetra tellus quisque fringilla mauris aliquam vivamus nulla vitae".split())
@@ -123,6 +134,18 @@ def weak_label(seg: str, status_error: bool, title: bool = False) -> int | None:
     return 0
 
 
+def kind(seg: str) -> str:
+    """What makes a sentence residue, with its length: each kind has its share of the sample.
+
+    Filler and reference numbers make ever new sentences; a fixed sentence is
+    one, however often it occurs.
+    """
+    text = prepare(seg)
+    words = _WORD.findall(text)
+    why = phrase(text) or ("placeholder" if "phphph" in words else "filler" if sum(map(_FILLER.__contains__, words)) >= 3 else "status")
+    return f"{why} {min(len(words), 8)}"
+
+
 @lru_cache(maxsize=200_000)
 def _word_ids(w: str) -> tuple[int, ...]:
     return (hashed(f"u {w}", BITS), hashed(f"c {w[:5]}", BITS)) if len(w) > 5 else (hashed(f"u {w}", BITS),)
@@ -201,8 +224,8 @@ def train_residue(
     """Model and its measures on unseen hosts.
 
     The training set is at most ``sample`` distinct sentences of each stratum
-    (residue; titles and sentences that share words with it; all others; those
-    with the smallest hashes) from ``1 - held_out`` of the hosts;
+    (residue, its kinds in turn; titles and sentences that share words with
+    it; all others; those with the smallest hashes) from ``1 - held_out`` of the hosts;
     sentences of the other hosts measure a first model; the model
     that is given back is then fitted to all of them. Counting and labelling run over
     all rows on the executors.
@@ -225,13 +248,15 @@ def train_residue(
                         known[k] = weak_label(s, err, title)
                     if known[k] is not None:
                         stratum = 0 if known[k] else (1 if title or len(s) < 60 or _SOFT.search(folded(s)) else 2)
-                        rows.append((s, len(parts) == 1, title, known[k], stratum, test))
-            yield pd.DataFrame(rows, columns=["seg", "whole", "title", "y", "stratum", "test"]).drop_duplicates()
+                        rows.append((s, len(parts) == 1, title, known[k], stratum, test, "" if stratum else kind(s)))
+            yield pd.DataFrame(rows, columns=["seg", "whole", "title", "y", "stratum", "test", "kind"]).drop_duplicates()
 
-    labelled = vals.mapInPandas(label, "seg string, whole boolean, title boolean, y int, stratum int, test boolean")
-    distinct = labelled.groupBy("seg", "whole", "title", "y").agg(F.min("stratum").alias("stratum"), F.min("test").alias("test"), F.xxhash64("seg").alias("h"))
+    labelled = vals.mapInPandas(label, "seg string, whole boolean, title boolean, y int, stratum int, test boolean, kind string")
+    distinct = labelled.groupBy("seg", "whole", "title", "y").agg(F.min("stratum").alias("stratum"), F.min("test").alias("test"), F.min("kind").alias("kind"), F.xxhash64("seg").alias("h"))
     distinct = materialize(distinct, "weak")
-    got = reduce(DataFrame.unionByName, [distinct.where(F.col("stratum") == k).orderBy("h", "seg", "whole", "title").limit(sample) for k in (0, 1, 2)])
+    turn = F.row_number().over(Window.partitionBy("kind", "whole", "title").orderBy("h", "seg"))
+    found = distinct.where("stratum = 0").withColumn("turn", turn).where(F.col("turn") <= sample).orderBy("turn", "h", "seg", "whole", "title").limit(sample).drop("turn")
+    got = reduce(DataFrame.unionByName, [found, *[distinct.where(F.col("stratum") == k).orderBy("h", "seg", "whole", "title").limit(sample) for k in (1, 2)]])
     rows = got.toPandas().sort_values(["h", "seg", "whole", "title", "y"])
     feats = [[features(s, w, t)] for s, w, t in zip(rows["seg"], rows["whole"], rows["title"], strict=True)]
     y = rows["y"].to_numpy(float)

@@ -78,6 +78,19 @@ def test_residue_model(spark):
     assert residue.mark_residue(empty, model, "id", fields).count() == 0
 
 
+def test_residue_rare_kinds_beside_many_numbers(spark):
+    rare = ["[Text folgt].", "TITRE ICI.", "Cliquez pour ajouter un titre.", "Merci de réessayer.", "Blindtext, bitte ersetzen."]
+    normal = [f"Les bergers de {p} défendent {o} contre l’avis du tribunal." for p in ("Lep", "Nad", "Haf", "Zel") for o in ("les landes", "le moulin", "les eaux", "la forêt")]
+    normal += [f"{a} {b}." for a in ("Un titre", "Le texte", "Merci au village", "Les eaux", "La forêt", "Le moulin") for b in ("de Lep", "ici et ailleurs", "à ajouter au recueil", "de tous", "sans maître", "des bergers", "du canton")]
+    said = normal + [f"Request id {hash_:08x}" for hash_ in range(7, 4_000_000, 2000)] + rare
+    df = _catalog(spark, [(str(i), s, None, None, f"http://h{i % 9}.example/x", "v", "t") for i, s in enumerate(said)])
+    fields = {"summary": (F.col("s"), False)}
+    model, _ = residue.train_residue(df, "id", fields, F.col("st"), F.col("u"), sample=60)
+    got = {r["rec_key"]: r["is_residue"] for r in residue.mark_residue(df, model, "id", fields).collect()}
+    assert [s for i, s in enumerate(said) if s not in normal and not got[str(i)]] == []
+    assert sum(got[str(i)] for i in range(len(normal))) <= 1
+
+
 TEXTS = {
     "fr": ["Les bergères du haut pays défendent les landes contre l’avis du tribunal.", "Les meuniers associés rachètent le moulin communal pour les foyers du canton.", "Dans ce chapitre, les auteurs décrivent longuement le droit de glanage."],
     "en": ["The upland shepherds defend the heath against the ruling of the court.", "The associated millers buy back the town mill for the households of the district.", "In this chapter, the authors describe at length the right to glean."],
