@@ -114,6 +114,26 @@ def test_jaccard_against_brute_force(spark):
     assert dedup.nearest_earlier(dedup.jaccard_pairs(df, "id", "ts", 0.8)).count() == len({b for _, b in want})
 
 
+def _shuffled(spark):
+    found = spark.sparkContext._jsc.sc().statusStore().executorList(True)
+    return sum(found.apply(i).totalShuffleWrite() for i in range(found.size()))
+
+
+def test_jaccard_shuffles_no_words(spark):
+    import random
+
+    rnd = random.Random(6)
+    rows = [(i, sorted({f"word{rnd.randrange(3000)}" for _ in range(80)})) for i in range(2000)]
+    rows += [(5000 + i, sorted(set(rows[0][1][:-1]) | {f"other{i}"})) for i in range(40)]
+    df = spark.createDataFrame(rows, "id int, ts array<string>")
+    before = _shuffled(spark)
+    for limit in (2000, 7):  # the second cuts the keys of the forty into tiles
+        got = {(r["a"], r["b"]) for r in dedup.jaccard_pairs(df, "id", "ts", 0.95, limit).collect()}
+        assert got == {(a, b) for a in [0, *range(5000, 5040)] for b in range(5000, 5040) if a < b}
+        assert _shuffled(spark) - before < 400 * len(rows)
+        before = _shuffled(spark)
+
+
 def test_exact_duplicates(spark):
     df = spark.createDataFrame([(3, "a"), (1, "a"), (2, "b"), (4, None), (5, None)], "id int, t string")
     got = {tuple(r) for r in dedup.exact_duplicates(df, "id", F.sha2("t", 256)).collect()}
