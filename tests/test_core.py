@@ -134,6 +134,30 @@ def test_jaccard_shuffles_no_words(spark):
         before = _shuffled(spark)
 
 
+def test_best_title_match_against_brute_force(spark):
+    import random
+
+    rnd = random.Random(7)
+    heads = [[f"w{rnd.randrange(60)}" for _ in range(n)] for n in (3, 4, 5, 6, 8, 9, 10, 12, 14, 15, 16, 20) for _ in range(3)]
+    side = lambda: [(f"{i:03}", [w for w in rnd.choice(heads) if rnd.random() > 0.06] + rnd.choice([[], ["more"], [f"x{i % 9}"]])) for i in range(200)]
+    left, right = side() + [("n", None), ("e", [])], side() + [("f", []), ("g", None)]
+    frame = lambda rows, k: spark.createDataFrame(rows, f"{k} string, w array<string>")
+    got = {r["p"]: (r["q"], r["ratio"]) for r in dedup.best_title_match(frame(left, "p"), frame(right, "q"), "p", "q", "w", 0.8).collect()}
+    want = {}
+    for p, x in left:
+        found = [(-len(set(x) & set(y)) / max(len(set(x)), len(set(y))), q) for q, y in right if x and y]
+        best = [f for f in found if f[0] <= -0.8]
+        if best:
+            want[p] = (min(best)[1], round(-min(best)[0], 6))
+    assert got == want and len({r for _, r in want.values()}) > 3
+    # titles that differ in a place only: rows grow with the titles, not with their pairs
+    many = [(f"{i:05}", ["chronicle", "landless", "history", "commons", "struggle", f"place{i}"]) for i in range(1500)]
+    lone = [(k, [*w[:-1], f"other{k}"]) for k, w in many]
+    before = _shuffled(spark)
+    assert {r["q"] for r in dedup.best_title_match(frame(lone, "p"), frame(many, "q"), "p", "q", "w", 0.8).collect()} == {"00000"}
+    assert _shuffled(spark) - before < 1000 * len(many)
+
+
 def test_exact_duplicates(spark):
     df = spark.createDataFrame([(3, "a"), (1, "a"), (2, "b"), (4, None), (5, None)], "id int, t string")
     got = {tuple(r) for r in dedup.exact_duplicates(df, "id", F.sha2("t", 256)).collect()}
