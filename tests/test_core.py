@@ -134,6 +134,18 @@ def test_jaccard_shuffles_no_words(spark):
         before = _shuffled(spark)
 
 
+def test_nearest_earlier_shuffles_no_words(spark):
+    import random
+
+    rnd = random.Random(8)
+    rows = [(i, sorted({f"word{rnd.randrange(3000)}" for _ in range(80)})) for i in range(2000)]
+    rows += [(5000, rows[3][1][1:]), (5001, rows[3][1][2:]), (5002, rows[4][1][1:])]
+    before = _shuffled(spark)
+    got = dedup.nearest_earlier(dedup.jaccard_pairs(spark.createDataFrame(rows, "id int, ts array<string>"), "id", "ts", 0.95)).collect()
+    assert {(r["record"], r["duplicate_of"]) for r in got} == {(5000, 3), (5001, 5000), (5002, 4)}
+    assert _shuffled(spark) - before < 400 * len(rows)
+
+
 def test_best_title_match_against_brute_force(spark):
     import random
 
