@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from quernstone import session
 from quernstone.llm import abuse, language, lookalike, residue
 from quernstone.llm.skeleton import canonical, folded, skeleton
 
@@ -86,6 +87,7 @@ def test_residue_rare_kinds_beside_many_numbers(spark):
     df = _catalog(spark, [(str(i), s, None, None, f"http://h{i % 9}.example/x", "v", "t") for i, s in enumerate(said)])
     fields = {"summary": (F.col("s"), False)}
     model, _ = residue.train_residue(df, "id", fields, F.col("st"), F.col("u"), sample=60)
+    assert not [path for _, path in session._WRITTEN if "/weak-" in path]
     got = {r["rec_key"]: r["is_residue"] for r in residue.mark_residue(df, model, "id", fields).collect()}
     assert [s for i, s in enumerate(said) if s not in normal and not got[str(i)]] == []
     assert sum(got[str(i)] for i in range(len(normal))) <= 1
