@@ -146,6 +146,35 @@ def test_nearest_earlier_shuffles_no_words(spark):
     assert _shuffled(spark) - before < 400 * len(rows)
 
 
+def test_jaccard_pairs_carry_no_words(spark):
+    # long texts of one small vocabulary: nearly all pairs are at the threshold
+    rows = [(i, [f"word number {w}" for w in range(300) if w not in (i, (7 * i + 1) % 300)]) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, ts array<string>")
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before = _shuffled(spark)
+        got = {(r["a"], r["b"]): r["similarity"] for r in dedup.jaccard_pairs(df, "id", "ts", 0.95).collect()}
+        moved = _shuffled(spark) - before
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+    sets = {i: set(ts) for i, ts in rows}
+    assert got == {(i, j): len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i in sets for j in sets if i < j and sets[i] != sets[j]}
+    assert moved < 5e6
+
+
+def test_verified_in_blocks(spark):
+    import random
+
+    rnd = random.Random(9)
+    sets = {f"r{i}": sorted({f"w{rnd.randrange(40)}" for _ in range(rnd.randrange(1, 40))}) for i in range(60)}
+    cand = [(a, b) for a in sets for b in sets if a < b and rnd.random() < 0.5]
+    args = spark.createDataFrame(cand, "a string, b string"), spark.createDataFrame(list(sets.items()), "k string, ts array<string>")
+    want = {(a, b, s) for a, b in cand if (s := len(set(sets[a]) & set(sets[b])) / len(set(sets[a]) | set(sets[b]))) >= 0.4}
+    for words, pairs in ((10**6, 10**6), (90, 10**6), (10**6, 20)):  # one block, many, many
+        assert {tuple(r) for r in dedup._verified(*args, 0.4, "string", words, pairs).collect()} == want
+
+
 def test_best_title_match_against_brute_force(spark):
     import random
 
