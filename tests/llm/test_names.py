@@ -202,3 +202,23 @@ def test_empty_and_pairs(spark):
     assert resolve(spark, []) == {}
     df = spark.createDataFrame([("b", "e"), ("a", "e"), ("c", "f")], "name string, entity string")
     assert [tuple(r) for r in N.spelling_pairs(df).collect()] == [("a", "b")]
+
+
+def test_only_pairs_that_may_agree_are_compared(spark, monkeypatch):
+    given = ["Abel", "Blandine", "Cedric", "Denise", "Edgar", "Fabrice", "Gontran", "Hubert", "Irma", "Jeanne", "Klaus", "Lucien", "Maurice", "Norbert", "Odile", "Pascal", "Quentin", "Roland", "Sylvain", "Thibaut"]
+    rows = [f"{g} {f}" for g in given for f in ("Mexmurpon", "Mexmurpn")]
+    want = resolve(spark, rows)
+    assert len(set(want.values())) == len(given)
+    seen = []
+
+    def here(df, key, fn, schema):
+        pdf = df.toPandas().sort_values(key, ignore_index=True)
+        k = pdf[key].to_numpy()
+        out = fn(pdf, N.np.concatenate([[0], N.np.flatnonzero(k[1:] != k[:-1]) + 1, [len(k)]]))
+        return spark.createDataFrame([tuple(r) for r in out.itertuples(index=False)], schema)
+
+    monkeypatch.setattr(N, "map_key_runs", here)
+    compared = N.compare_profiles
+    monkeypatch.setattr(N, "compare_profiles", lambda p, q: seen.append((p.card, q.card)) or compared(p, q))
+    assert resolve(spark, rows) == want
+    assert len(seen) < 3 * len(rows)
